@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.session import ensure_checkpoint_dir
+from carelake.session import ensure_checkpoint_dir, materialise
 
 
 def _as_list(x) -> list[str]:
@@ -64,9 +64,10 @@ def dense_keys(df: DataFrame, bk, key_col: str, start: int | None = 1,
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
     # One materialisation so the counting pass and the numbering pass see
-    # identical partitions (range bounds come from sampling; AQE could
-    # otherwise coalesce the two passes differently).
-    ranged = ranged.checkpoint(eager=True)
+    # the same partition ids and positions (range bounds come from
+    # sampling; AQE could otherwise coalesce the two passes differently).
+    # Both are stored as columns, so the read-back layout does not matter.
+    ranged = materialise(ranged, "dense-keys")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -17,6 +17,7 @@ from carelake.functions.exprs import AGE_EDGES, AGE_LABELS, bucketize, date_key,
 from carelake.operators import dims as D
 from carelake.operators import facts as E
 from carelake.operators.keys import dense_keys, latest_per_key
+from carelake.session import materialise
 from carelake.sources import bindings as B
 from carelake.sources.tables import Tables
 
@@ -42,7 +43,7 @@ class Star:
         key = (id(self.spark.sparkContext), self.sf_dir, self.as_of, name)
         df = _CACHE.get(key)
         if df is None:
-            df = build().checkpoint(eager=True)
+            df = materialise(build(), name)
             _CACHE[key] = df
         return df
 
@@ -74,6 +75,9 @@ class Star:
         return latest_per_key(df, "encounter_id", ["encounter_date"])
 
     def silver_claims(self) -> DataFrame:
+        return self._snap("silver_claims", self._silver_claims)
+
+    def _silver_claims(self) -> DataFrame:
         df = B.raw_claims(self.t).drop("_quantity")
         df = C.parse_dates(df, ["service_date", "submit_date", "process_date"])
         df = C.cast_columns(df, {"billed_amount": MONEY, "allowed_amount": MONEY, "paid_amount": MONEY})

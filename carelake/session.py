@@ -66,3 +66,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="carelake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialise(df, label: str = "snap"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    return a frame reading it back: cuts lineage in a single job (a reliable
+    RDD checkpoint would recompute the plan a second time) and survives
+    executor loss because the files live in the shared folder."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/carelake-snapshots/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
