@@ -41,11 +41,17 @@ AGE_EDGES = (18, 40, 65)
 AGE_LABELS = ("0-17", "18-39", "40-64", "65+")
 
 
+def rnd(c, digits: int = 4) -> Column:
+    """Round a double through a 10-dp decimal so decimal ties round half up
+    identically in every engine."""
+    return F.round(_c(c).cast("decimal(38,10)"), digits).cast("double")
+
+
 def safe_ratio(num, den, digits: int | None = 4, default=0.0) -> Column:
     """Num / den rounded, ``default`` when den <= 0 or null."""
     n, d = _c(num).cast("double"), _c(den).cast("double")
     r = F.when(d > 0, n / d).otherwise(F.lit(default))
-    return F.round(r, digits) if digits is not None else r
+    return rnd(r, digits) if digits is not None else r
 
 
 def hash_bucket(key, n: int, salt: str = "") -> Column:

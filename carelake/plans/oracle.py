@@ -390,6 +390,97 @@ LEFT JOIN dim_diagnosis x ON d.icd_code = x.icd_code
 LEFT JOIN fact_encounter e ON d.encounter_id = e.encounter_id"""
 
 
+CTES["agg_adherence"] = f"""
+SELECT CAST(patient_key * 100000 + medication_key AS BIGINT) AS adherence_key, patient_key, medication_key,
+  drug_class, therapeutic_area, measurement_period_start, measurement_period_end, total_fills,
+  total_days_supply, days_in_period, covered_days, pdc_score,
+  CASE WHEN pdc_score >= 0.80 THEN 'Adherent' WHEN pdc_score >= 0.50 THEN 'Partially Adherent'
+       ELSE 'Non-Adherent' END AS adherence_category,
+  total_medication_cost, total_payer_cost, total_patient_cost,
+  CASE WHEN days_in_period > covered_days THEN days_in_period - covered_days ELSE 0 END AS gap_days,
+  1 AS is_chronic
+FROM (
+  SELECT *, least(CASE WHEN days_in_period > 0 THEN CAST(covered_days AS DOUBLE) / days_in_period ELSE 1.0 END,
+                  1.0::DOUBLE) AS pdc_score
+  FROM (
+    SELECT *, least(total_days_supply, days_in_period) AS covered_days
+    FROM (
+      SELECT *, CASE WHEN span <= 0 THEN total_days_supply ELSE span END AS days_in_period
+      FROM (
+        SELECT fp.patient_key, fp.medication_key, m.drug_class, m.therapeutic_area,
+          min(fp.fill_date_key) AS measurement_period_start, max(fp.fill_date_key) AS measurement_period_end,
+          count(*) AS total_fills, CAST(sum(fp.days_supply) AS BIGINT) AS total_days_supply,
+          datediff('day', min(fp.fill_date), max(fp.fill_date))
+            + coalesce(CAST(trunc(avg(fp.days_supply)) AS INTEGER), 30) AS span,
+          sum(fp.total_cost) AS total_medication_cost, sum(fp.payer_paid) AS total_payer_cost,
+          sum(fp.patient_copay) AS total_patient_cost
+        FROM fact_prescription fp JOIN dim_medication m ON fp.medication_key = m.medication_key
+        WHERE fp.patient_key IS NOT NULL AND fp.medication_key IS NOT NULL AND m.is_chronic = 1
+          AND fp.fill_date BETWEEN DATE '{DATE_START}' AND DATE '{DATE_END}'
+        GROUP BY fp.patient_key, fp.medication_key, m.drug_class, m.therapeutic_area))))"""
+
+CTES["chronic_fills"] = """
+SELECT fp.patient_key, m.drug_class, fp.fill_date, fp.days_supply, year(fp.fill_date) AS year,
+  fp.fill_date + (fp.days_supply - 1) AS fill_end
+FROM fact_prescription fp JOIN dim_medication m ON fp.medication_key = m.medication_key
+WHERE m.is_chronic = 1 AND fp.days_supply > 0"""
+
+CTES["fill_islands"] = """
+SELECT patient_key, drug_class, year, island, min(fill_date) AS island_start, max(fill_end) AS island_end
+FROM (
+  SELECT *, sum(new_island) OVER (PARTITION BY patient_key, drug_class, year ORDER BY fill_date
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island
+  FROM (
+    SELECT *, CASE WHEN prev_end IS NULL OR fill_date > prev_end + 1 THEN 1 ELSE 0 END AS new_island
+    FROM (
+      SELECT *, max(fill_end) OVER (PARTITION BY patient_key, drug_class, year ORDER BY fill_date
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end
+      FROM (SELECT patient_key, drug_class, year, fill_date, max(fill_end) AS fill_end FROM chronic_fills
+            GROUP BY 1, 2, 3, 4))))
+GROUP BY 1, 2, 3, 4"""
+
+CTES["pdc_period"] = """
+SELECT patient_key, drug_class, year, min(fill_date) AS period_start, count(*) AS fills
+FROM chronic_fills GROUP BY 1, 2, 3"""
+
+CTES["pdc_exact"] = f"""
+SELECT p.patient_key, p.drug_class, p.year, p.period_start, p.fills, c.covered_days,
+  datediff('day', p.period_start, make_date(p.year, 12, 31)) + 1 AS period_days,
+  {rnd('CAST(c.covered_days AS DOUBLE) / (datediff(' + "'day'" + ', p.period_start, make_date(p.year, 12, 31)) + 1)')} AS pdc
+FROM pdc_period p JOIN (
+  SELECT patient_key, drug_class, year,
+    CAST(sum(datediff('day', island_start, least(island_end, make_date(year, 12, 31))) + 1) AS BIGINT) AS covered_days
+  FROM fill_islands GROUP BY 1, 2, 3) c
+  ON p.patient_key = c.patient_key AND p.drug_class = c.drug_class AND p.year = c.year"""
+
+CTES["inpatient_days"] = """
+SELECT DISTINCT patient_key, CAST(unnest(generate_series(encounter_date, discharge_date, INTERVAL 1 DAY)) AS DATE) AS day
+FROM fact_encounter WHERE encounter_type = 'Inpatient' AND patient_key IS NOT NULL"""
+
+CTES["pdc_excl_stays"] = f"""
+SELECT d.patient_key, d.drug_class, d.year, d.period_days, d.period_days_excl,
+  coalesce(c.covered_days, 0) AS covered_days, coalesce(c.covered_days_excl, 0) AS covered_days_excl,
+  CASE WHEN d.period_days_excl = 0 THEN NULL
+       ELSE {rnd('CAST(coalesce(c.covered_days_excl, 0) AS DOUBLE) / d.period_days_excl')} END AS pdc_excl
+FROM (
+  SELECT x.patient_key, x.drug_class, x.year, count(*) AS period_days,
+    count(*) FILTER (WHERE i.day IS NULL) AS period_days_excl
+  FROM (SELECT patient_key, drug_class, year,
+          CAST(unnest(generate_series(period_start, make_date(year, 12, 31), INTERVAL 1 DAY)) AS DATE) AS day
+        FROM pdc_period) x
+  LEFT JOIN inpatient_days i ON x.patient_key = i.patient_key AND x.day = i.day
+  GROUP BY 1, 2, 3) d
+LEFT JOIN (
+  SELECT x.patient_key, x.drug_class, x.year, count(*) AS covered_days,
+    count(*) FILTER (WHERE i.day IS NULL) AS covered_days_excl
+  FROM (SELECT patient_key, drug_class, year,
+          CAST(unnest(generate_series(island_start, least(island_end, make_date(year, 12, 31)), INTERVAL 1 DAY)) AS DATE) AS day
+        FROM fill_islands) x
+  LEFT JOIN inpatient_days i ON x.patient_key = i.patient_key AND x.day = i.day
+  GROUP BY 1, 2, 3) c
+  ON d.patient_key = c.patient_key AND d.drug_class = c.drug_class AND d.year = c.year"""
+
+
 _NAME_RE = {name: re.compile(r"\b" + name + r"\b") for name in CTES}
 
 
