@@ -140,6 +140,7 @@ LEFT JOIN payers_ref r ON s.payer_id = r.payer_id"""
 CTES["dim_facility"] = f"""
 SELECT {ident('FAC', 'n_nationkey', 3)} AS facility_id, 'Facility ' || n_name AS facility_name,
   lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS zip_code, n_regionkey AS region_key,
+  40.0::DOUBLE + n_nationkey * 0.1::DOUBLE AS latitude, -75.0::DOUBLE - n_nationkey * 0.1::DOUBLE AS longitude,
   row_number() OVER (ORDER BY {ident('FAC', 'n_nationkey', 3)}) AS facility_key
 FROM nation"""
 
@@ -481,6 +482,34 @@ LEFT JOIN (
   ON d.patient_key = c.patient_key AND d.drug_class = c.drug_class AND d.year = c.year"""
 
 
+_K = "CAST(json_extract(props, '$.k') AS INTEGER)"
+CTES["landing_events"] = f"""
+SELECT event_id, ts AS event_timestamp,
+  CASE event_type WHEN 'purchase' THEN 'claims_events' WHEN 'click' THEN 'claims_events'
+       WHEN 'view' THEN 'adt_events' WHEN 'signup' THEN 'adt_events' ELSE 'rx_events' END AS _table,
+  {ident('PAT', 'user_id', 6)} AS patient_id, {ident('PRV', 'user_id', 5)} AS provider_id,
+  {ident('FAC', 'user_id % 25', 3)} AS facility_id,
+  CAST(CAST(value AS DECIMAL(18,2)) * 1000 AS DECIMAL(18,2)) AS claim_amount,
+  '9921' || CAST({_K} % 5 + 1 AS VARCHAR) AS procedure_code, {ident('ICD', _K, 5)} AS diagnosis_code,
+  {pick(['ADMIT', 'DISCHARGE', 'OBSERVATION', 'TRANSFER'], _K + ' % 4')} AS adt_event_type,
+  {pick(['EMERGENCY', 'URGENT', 'ELECTIVE'], _K + ' % 3')} AS admission_type,
+  {ident('NDC', _K, 6)} AS medication_code, CAST({_K} % 90 + 1 AS INTEGER) AS quantity, 30 AS days_supply,
+  40.0::DOUBLE + ({_K} % 20) * 0.1::DOUBLE AS latitude, -75.0::DOUBLE - ({_K} % 20) * 0.1::DOUBLE AS longitude
+FROM events"""
+
+CTES["claims_events"] = """
+SELECT event_id, event_timestamp, 'EC' || CAST(event_id AS VARCHAR) AS claim_id, patient_id, provider_id, facility_id,
+  claim_amount, procedure_code, diagnosis_code, latitude, longitude
+FROM landing_events WHERE _table = 'claims_events'"""
+
+CTES["adt_events"] = """
+SELECT event_id, event_timestamp, adt_event_type AS event_type, patient_id, facility_id, admission_type, latitude, longitude
+FROM landing_events WHERE _table = 'adt_events'"""
+
+CTES["rx_events"] = """
+SELECT event_id, event_timestamp, patient_id, provider_id, medication_code, quantity, days_supply, latitude, longitude
+FROM landing_events WHERE _table = 'rx_events'"""
+
 _NAME_RE = {name: re.compile(r"\b" + name + r"\b") for name in CTES}
 
 
@@ -488,6 +517,9 @@ def _deps(text: str) -> list[str]:
     return [n for n, rx in _NAME_RE.items() if rx.search(text)]
 
 
+_LITERAL = re.compile(r"'[^']*'")
+
+
 def sql(body: str, extra: dict[str, str] | None = None) -> str:
     """Prepend the CTEs ``body`` needs (transitively), dependencies first."""
     ctes = dict(CTES)
@@ -498,13 +530,13 @@ def sql(body: str, extra: dict[str, str] | None = None) -> str:
     def visit(name: str, stack: tuple = ()):
         if name in order:
             return
-        text = ctes[name]
+        text = _LITERAL.sub("''", ctes[name])
         for d in [n for n in ctes if n != name and rx[n].search(text)]:
             if d not in stack:
                 visit(d, stack + (name,))
         order.append(name)
 
-    for n in [n for n in ctes if rx[n].search(body)]:
+    for n in [n for n in ctes if rx[n].search(_LITERAL.sub("''", body))]:
         visit(n)
     if not order:
         return body.strip()

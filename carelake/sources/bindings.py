@@ -122,6 +122,8 @@ def raw_facilities(t: Tables) -> DataFrame:
         F.concat(F.lit("Facility "), F.col("n_name")).alias("facility_name"),
         F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("zip_code"),
         F.col("n_regionkey").alias("region_key"),
+        (F.lit(40.0) + F.col("n_nationkey") * 0.1).alias("latitude"),
+        (F.lit(-75.0) - F.col("n_nationkey") * 0.1).alias("longitude"),
     )
 
 
@@ -289,7 +291,57 @@ def raw_diagnoses(t: Tables) -> DataFrame:
             ))
 
 
-def raw_events(t: Tables) -> DataFrame:
-    """Driver events as a claim/ADT/Rx feed keyed by user (patient and provider)."""
+PROPS_SCHEMA = "k INT"
+
+# driver event_type -> landing-table discriminator
+EVENT_ROUTES = {"purchase": "claims_events", "click": "claims_events",
+                "view": "adt_events", "signup": "adt_events", "error": "rx_events"}
+
+
+def landing_events(t: Tables) -> DataFrame:
+    """The landing feed: one row per event, discriminator ``_table`` plus the
+    union of all typed fields (nulls where a field does not apply).
+
+    user_id plays the patient (and, for claims, the provider); the JSON
+    ``props`` payload is parsed with an explicit schema (A11).
+    """
     e = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    return e
+    k = F.from_json("props", PROPS_SCHEMA).getField("k")
+    route = F.lit("rx_events")
+    for src, dst in reversed(list(EVENT_ROUTES.items())):
+        route = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(route)
+    lat = F.lit(40.0) + (k % 20) * 0.1
+    lon = F.lit(-75.0) - (k % 20) * 0.1
+    return e.select(
+        "event_id", F.col("ts").alias("event_timestamp"), route.alias("_table"),
+        patient_id("user_id").alias("patient_id"), provider_id("user_id").alias("provider_id"),
+        _id("FAC", F.col("user_id") % 25, 3).alias("facility_id"),
+        (F.col("value").cast("decimal(18,2)") * 1000).cast("decimal(18,2)").alias("claim_amount"),
+        F.concat(F.lit("9921"), (k % 5 + 1).cast("string")).alias("procedure_code"),
+        _id("ICD", k, 5).alias("diagnosis_code"),
+        _pick(["ADMIT", "DISCHARGE", "OBSERVATION", "TRANSFER"], k % 4).alias("adt_event_type"),
+        _pick(["EMERGENCY", "URGENT", "ELECTIVE"], k % 3).alias("admission_type"),
+        _id("NDC", k, 6).alias("medication_code"),
+        (k % 90 + 1).cast("int").alias("quantity"),
+        F.lit(30).alias("days_supply"),
+        lat.alias("latitude"), lon.alias("longitude"),
+    )
+
+
+def claims_events(landing: DataFrame) -> DataFrame:
+    return landing.where(F.col("_table") == "claims_events").select(
+        "event_id", "event_timestamp", F.concat(F.lit("EC"), F.col("event_id").cast("string")).alias("claim_id"),
+        "patient_id", "provider_id", "facility_id", "claim_amount", "procedure_code", "diagnosis_code",
+        "latitude", "longitude")
+
+
+def adt_events(landing: DataFrame) -> DataFrame:
+    return landing.where(F.col("_table") == "adt_events").select(
+        "event_id", "event_timestamp", F.col("adt_event_type").alias("event_type"), "patient_id",
+        "facility_id", "admission_type", "latitude", "longitude")
+
+
+def rx_events(landing: DataFrame) -> DataFrame:
+    return landing.where(F.col("_table") == "rx_events").select(
+        "event_id", "event_timestamp", "patient_id", "provider_id", "medication_code", "quantity",
+        "days_supply", "latitude", "longitude")
