@@ -482,6 +482,17 @@ LEFT JOIN (
   ON d.patient_key = c.patient_key AND d.drug_class = c.drug_class AND d.year = c.year"""
 
 
+CTES["dim_date"] = f"""
+SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS full_date,
+  CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, strftime(d, '%A') AS day_name,
+  CAST(day(d) AS INTEGER) AS day_of_month, CAST(dayofyear(d) AS INTEGER) AS day_of_year,
+  CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(month(d) AS INTEGER) AS month_number,
+  strftime(d, '%B') AS month_name, CAST(quarter(d) AS INTEGER) AS quarter, CAST(year(d) AS INTEGER) AS year,
+  CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend, 0 AS is_holiday,
+  CAST(CASE WHEN month(d) >= 7 THEN year(d) + 1 ELSE year(d) END AS INTEGER) AS fiscal_year,
+  CAST(floor(((month(d) - 7 + 12) % 12) / 3) + 1 AS INTEGER) AS fiscal_quarter
+FROM (SELECT CAST(unnest(generate_series(DATE '{DATE_START}', DATE '{DATE_END}', INTERVAL 1 DAY)) AS DATE) AS d)"""
+
 _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 CTES["landing_events"] = f"""
 SELECT event_id, ts AS event_timestamp,
