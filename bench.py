@@ -51,8 +51,10 @@ def main():
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.time() - t)
         out[name] = round(statistics.median(runs), 3)
-    total = round(sum(v for k, v in out.items() if k != "star_build"), 3)
-    print(json.dumps({"metric": "headline_queries_total_median_sec", "value": total, "unit": "sec",
+    queries_total = round(sum(v for k, v in out.items() if k != "star_build"), 3)
+    total = round(queries_total + out["star_build"], 3)
+    print(json.dumps({"metric": "star_build_plus_headline_queries_sec", "value": total, "unit": "sec",
+                      "headline_queries_sec": queries_total,
                       "queries": out, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                       "cpus": cpus, "star_build_sec": out["star_build"]}))
 

@@ -421,7 +421,7 @@ FROM (
         GROUP BY fp.patient_key, fp.medication_key, m.drug_class, m.therapeutic_area))))"""
 
 CTES["chronic_fills"] = """
-SELECT fp.patient_key, m.drug_class, fp.fill_date, fp.days_supply, year(fp.fill_date) AS year,
+SELECT fp.patient_key, m.drug_class, fp.fill_date, fp.days_supply, CAST(year(fp.fill_date) AS INTEGER) AS year,
   fp.fill_date + (fp.days_supply - 1) AS fill_end
 FROM fact_prescription fp JOIN dim_medication m ON fp.medication_key = m.medication_key
 WHERE m.is_chronic = 1 AND fp.days_supply > 0"""
@@ -446,7 +446,7 @@ FROM chronic_fills GROUP BY 1, 2, 3"""
 
 CTES["pdc_exact"] = f"""
 SELECT p.patient_key, p.drug_class, p.year, p.period_start, p.fills, c.covered_days,
-  datediff('day', p.period_start, make_date(p.year, 12, 31)) + 1 AS period_days,
+  CAST(datediff('day', p.period_start, make_date(p.year, 12, 31)) + 1 AS INTEGER) AS period_days,
   {rnd('CAST(c.covered_days AS DOUBLE) / (datediff(' + "'day'" + ', p.period_start, make_date(p.year, 12, 31)) + 1)')} AS pdc
 FROM pdc_period p JOIN (
   SELECT patient_key, drug_class, year,

@@ -230,7 +230,7 @@ SELECT c.claim_id, p.payer_name,
   CASE WHEN CAST(c.billed_amount AS DOUBLE) > 0
        THEN CAST(round(CAST(CAST(c.paid_amount AS DOUBLE) / CAST(c.billed_amount AS DOUBLE) AS DECIMAL(38,10)), 4) AS DOUBLE)
        ELSE 0.0 END AS paid_ratio,
-  datediff('day', c.claim_date, DATE '{AS_OF}') AS days_open
+  CAST(datediff('day', c.claim_date, DATE '{AS_OF}') AS INTEGER) AS days_open
 FROM silver_claims c LEFT JOIN payers_ref p ON c.payer_id = p.payer_id"""))
 def c05(spark, d):
     """Claims with payer, paid/billed ratio and days open."""

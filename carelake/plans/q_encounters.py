@@ -13,7 +13,7 @@ from carelake.plans.star import Star
 
 RRATE = rnd("CAST(sum(readmission_flag) AS DOUBLE) / count(*)")
 MONTHLY = {"monthly_charges": """
-SELECT year(encounter_date) AS year, month(encounter_date) AS month, sum(total_charges) AS charges
+SELECT CAST(year(encounter_date) AS INTEGER) AS year, CAST(month(encounter_date) AS INTEGER) AS month, sum(total_charges) AS charges
 FROM fact_encounter GROUP BY 1, 2"""}
 
 
@@ -159,7 +159,7 @@ def i21(spark, d):
 
 @query("i38_readmission_condition_facility", sql(f"""
 SELECT x.icd_category, f.facility_name, count(*) AS encounters,
-  {rnd('CAST(sum(e.readmission_flag) AS DOUBLE) / count(*)')} AS readmission_rate, 0.15 AS target_rate,
+  {rnd('CAST(sum(e.readmission_flag) AS DOUBLE) / count(*)')} AS readmission_rate, 0.15::DOUBLE AS target_rate,
   CAST(sum(e.readmission_flag) AS DOUBLE) / count(*) > 0.15 AS above_target
 FROM fact_encounter e JOIN dim_diagnosis x ON e.primary_diagnosis_code = x.icd_code
 JOIN dim_facility f ON e.facility_key = f.facility_key GROUP BY 1, 2"""))
@@ -238,7 +238,7 @@ def h08(spark, d):
 @query("h09_pmpm_by_year", sql(f"""
 SELECT e.year, CAST(round(e.cost, 2) AS DOUBLE) AS encounter_cost, CAST(round(coalesce(r.cost, 0), 2) AS DOUBLE) AS rx_cost,
   m.members, {rnd('(CAST(e.cost AS DOUBLE) + CAST(coalesce(r.cost, 0) AS DOUBLE)) / (m.members * 12)', 2)} AS pmpm
-FROM (SELECT year(encounter_date) AS year, sum(total_cost) AS cost FROM fact_encounter GROUP BY 1) e
+FROM (SELECT CAST(year(encounter_date) AS INTEGER) AS year, sum(total_cost) AS cost FROM fact_encounter GROUP BY 1) e
 LEFT JOIN (SELECT year(fill_date) AS year, sum(total_cost) AS cost FROM fact_prescription GROUP BY 1) r ON e.year = r.year
 CROSS JOIN (SELECT count(*) AS members FROM dim_patient WHERE is_current = 1) m"""))
 def h09(spark, d):
