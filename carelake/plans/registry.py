@@ -25,5 +25,5 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
     # Importing the modules registers their queries.
     from carelake.plans import (q_claims, q_encounters, q_rx, q_patients, q_dims,  # noqa: F401
                                 q_quality, q_reports, q_scoring, q_graph, q_ops, q_stream,
-                                q_io)
+                                q_io, q_rules)
     return REGISTRY
