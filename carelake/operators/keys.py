@@ -100,3 +100,19 @@ def assign_stable_keys(src: DataFrame, dim: DataFrame, sk: str, bk) -> DataFrame
     new = new.crossJoin(F.broadcast(hw))  # one row by construction
     numbered = dense_keys(new, bks, sk, start_col=F.col("_hw") + 1).drop("_hw")
     return matched.unionByName(numbered.select(*matched.columns))
+
+
+def lag_by_key(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
+               prefix: str = "prev_") -> DataFrame:
+    """The previous row's ``cols`` within ``key`` in ``order`` (a ``lag``).
+
+    Skew-proof form: rows are numbered globally in (key, order) with the
+    range-partitioned ``dense_keys`` and joined to row n-1 on that unique
+    number, so a key holding a third of all rows is still spread over every
+    range partition. Nulls in ``order`` sort last.
+    """
+    g = dense_keys(df, [key, *order], "_g")
+    prev = g.select(F.col(key).alias("_pk"), (F.col("_g") + 1).alias("_gp"),
+                    *[F.col(c).alias(prefix + c) for c in cols])
+    j = g.join(prev, (g["_g"] == prev["_gp"]) & (g[key] == prev["_pk"]), "left")
+    return j.drop("_g", "_gp", "_pk")
