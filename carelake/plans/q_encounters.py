@@ -251,3 +251,66 @@ def h09(spark, d):
     rc = F.coalesce(F.col("rc"), F.lit(0).cast("decimal(18,2)"))
     return j.select("year", M.money(F.col("ec")).alias("encounter_cost"), M.money(rc).alias("rx_cost"), "members",
                     M.rnd((F.col("ec").cast("double") + rc.cast("double")) / (F.col("members") * 12), 2).alias("pmpm"))
+
+
+@query("h10_quality_score", sql(f"""
+SELECT r.readmission_rate, a.adherent_rate, c.denial_rate,
+  {rnd('((1 - r.rr) + a.ar + (1 - c.dr)) / 3')} AS quality_score
+FROM (SELECT CAST(sum(readmission_flag) AS DOUBLE) / count(*) AS rr,
+        {rnd('CAST(sum(readmission_flag) AS DOUBLE) / count(*)')} AS readmission_rate FROM fact_encounter) r
+CROSS JOIN (SELECT CAST(count(*) FILTER (WHERE adherence_category = 'Adherent') AS DOUBLE) / count(*) AS ar,
+        {rnd("CAST(count(*) FILTER (WHERE adherence_category = 'Adherent') AS DOUBLE) / count(*)")} AS adherent_rate
+      FROM agg_adherence) a
+CROSS JOIN (SELECT CAST(sum(denial_flag) AS DOUBLE) / count(*) AS dr,
+        {rnd('CAST(sum(denial_flag) AS DOUBLE) / count(*)')} AS denial_rate FROM fact_claim) c"""))
+def h10(spark, d):
+    """Quality score = mean of (1 - readmission rate), adherent rate and
+    (1 - denial rate); three one-row aggregates joined."""
+    from carelake.plans.q_rx import adherence
+    s = Star(spark, d)
+    r = s.fact_encounter().agg((F.sum("readmission_flag") / F.count(F.lit(1))).alias("rr"))
+    a = adherence(s).agg((F.count_if(F.col("adherence_category") == "Adherent") / F.count(F.lit(1))).alias("ar"))
+    c = s.fact_claim().agg((F.sum("denial_flag") / F.count(F.lit(1))).alias("dr"))
+    j = r.crossJoin(a).crossJoin(c)
+    return j.select(M.rnd(F.col("rr")).alias("readmission_rate"), M.rnd(F.col("ar")).alias("adherent_rate"),
+                    M.rnd(F.col("dr")).alias("denial_rate"),
+                    M.rnd(((1 - F.col("rr")) + F.col("ar") + (1 - F.col("dr"))) / 3).alias("quality_score"))
+
+
+@query("h26_extension_measures", sql(f"""
+SELECT (SELECT {rnd("CAST(count(*) FILTER (WHERE readmission_flag = 1) AS DOUBLE) / count(*)")}
+          FROM fact_encounter WHERE encounter_type = 'Inpatient') AS inpatient_readmission_rate,
+       (SELECT CAST(round(coalesce(sum(billed_amount) - sum(paid_amount), 0), 2) AS DOUBLE)
+          FROM fact_claim WHERE claim_status = 'Paid') AS revenue_leakage,
+       (SELECT {rnd('CAST(sum(e.readmission_flag) AS DOUBLE) / count(*)')} FROM fact_encounter e
+          JOIN dim_patient p ON e.patient_key = p.patient_key JOIN dim_sdoh s ON p.zip_code = s.zip_code
+          WHERE s.risk_tier = 'High') AS sdoh_high_readmission_rate"""))
+def h26(spark, d):
+    """Inpatient readmission rate, revenue leakage on paid claims and
+    the readmission rate in high social-risk zips."""
+    s = Star(spark, d)
+    fe = s.fact_encounter()
+    a = fe.where(F.col("encounter_type") == "Inpatient").agg(
+        M.rate(F.count_if(F.col("readmission_flag") == 1), F.count(F.lit(1))).alias("inpatient_readmission_rate"))
+    b = s.fact_claim().where(F.col("claim_status") == "Paid").agg(
+        F.coalesce(M.money(F.sum("billed_amount") - F.sum("paid_amount")), F.lit(0.0)).alias("revenue_leakage"))
+    pat = s.dim_patient().select("patient_key", "zip_code")
+    sd = F.broadcast(s.dim_sdoh().where(F.col("risk_tier") == "High").select("zip_code"))
+    c = fe.join(pat, "patient_key").join(sd, "zip_code").agg(M.readmission_rate().alias("sdoh_high_readmission_rate"))
+    return a.crossJoin(b).crossJoin(c)  # one-row aggregates
+
+
+@query("i34b_facility_readmission_rank", sql(f"""
+SELECT facility_name, encounters, readmission_rate,
+  CAST(dense_rank() OVER (ORDER BY readmission_rate DESC) AS INTEGER) AS readmission_rank
+FROM (SELECT f.facility_name, count(*) AS encounters,
+        {rnd('CAST(sum(e.readmission_flag) AS DOUBLE) / count(*)')} AS readmission_rate
+      FROM fact_encounter e JOIN dim_facility f ON e.facility_key = f.facility_key GROUP BY 1)"""))
+def i34b(spark, d):
+    """Facilities ranked by readmission rate (rank over one row per
+    facility)."""
+    s = Star(spark, d)
+    fac = F.broadcast(s.dim_facility().select("facility_key", "facility_name"))
+    g = (s.fact_encounter().join(fac, "facility_key").groupBy("facility_name")
+         .agg(F.count(F.lit(1)).alias("encounters"), M.readmission_rate().alias("readmission_rate")))
+    return g.withColumn("readmission_rank", F.dense_rank().over(Window.orderBy(F.col("readmission_rate").desc())))
