@@ -270,3 +270,15 @@ def c10(spark, d):
     f = lookup_join(f, s.dim_diagnosis(), "icd_code", ["icd_description", "icd_category"])
     f = lookup_join(f, s.fact_encounter(), "encounter_id", ["encounter_type", "facility_id"])
     return f.select("diagnosis_id", "icd_description", "icd_category", "encounter_type", "facility_id")
+
+
+@query("d13_provider_dim_with_facility_key", sql("""
+SELECT p.provider_id, p.provider_key, f.facility_key, f.facility_name, p.is_active
+FROM dim_provider p LEFT JOIN dim_facility f ON p.facility_id = f.facility_id WHERE p.is_current = 1"""))
+def d13(spark, d):
+    """Type-1 dimension enriched with foreign keys of other dimensions
+    (provider -> facility key), a keyed lookup per row."""
+    s = Star(spark, d)
+    p = s.dim_provider().where("is_current = 1").select("provider_id", "provider_key", "facility_id", "is_active")
+    p = lookup_join(p, s.dim_facility(), "facility_id", ["facility_key", "facility_name"], small=True)
+    return p.select("provider_id", "provider_key", "facility_key", "facility_name", "is_active")
