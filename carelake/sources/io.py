@@ -25,27 +25,12 @@ def read_csv_full(spark: SparkSession, path: str | list[str], schema: T.StructTy
     return r.csv(path)
 
 
-def read_csv_increment(spark: SparkSession, root: str, table: str, schema=None) -> DataFrame:
-    """A2: increment files ``t_*.csv`` flat in ``root`` and in dated
-    sub-folders ``root/*/t_*.csv`` (one scan over both globs)."""
-    paths = [f"{root.rstrip('/')}/{table}_*.csv", f"{root.rstrip('/')}/*/{table}_*.csv"]
-    r = spark.read.option("header", True)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.option("ignoreMissingFiles", True).csv(paths) if _any_exist(spark, paths) else \
-        spark.createDataFrame([], schema if schema is not None else "value string")
-
-
-def _any_exist(spark: SparkSession, globs: Sequence[str]) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for g in globs:
-        p = jvm.org.apache.hadoop.fs.Path(g)
-        fs = p.getFileSystem(conf)
-        st = fs.globStatus(p)
-        if st is not None and len(st) > 0:
-            return True
-    return False
+def read_csv_increment(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
+    """A2: increment files named ``<table>_*.csv``, flat in ``root`` or in
+    dated sub-folders, read in one scan (recursive lookup + file-name
+    filter, so an empty layout is simply zero rows)."""
+    return (spark.read.option("header", True).option("recursiveFileLookup", True)
+            .option("pathGlobFilter", f"{table}_*.csv").schema(schema).csv(root))
 
 
 def with_lineage(df: DataFrame, source: str) -> DataFrame:
