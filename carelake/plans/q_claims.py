@@ -291,3 +291,30 @@ def h17(spark, d):
     # dim_date holds one row per calendar day: bounded by the date range.
     return (s.fact_claim().join(F.broadcast(dd), F.col("payment_date_key") == F.col("date_key"))
             .groupBy("year", "month_number").agg(M.total_of("paid_amount").alias("paid_by_payment_date")))
+
+
+@query("i28_denied_claims_primary_diagnosis", sql("""
+SELECT c.claim_id, x.icd_code, d.icd_category
+FROM fact_claim c JOIN fact_diagnosis x ON c.encounter_key = x.encounter_key AND x.sequence_number = 1
+LEFT JOIN dim_diagnosis d ON x.diagnosis_key = d.diagnosis_key
+WHERE c.denial_flag = 1"""))
+def i28(spark, d):
+    """Denied claims with the primary diagnosis of their encounter."""
+    s = Star(spark, d)
+    primary = (s.fact_diagnosis().where(F.col("sequence_number") == 1)
+               .select("encounter_key", "icd_code", "diagnosis_key"))
+    dx = s.dim_diagnosis().select("diagnosis_key", "icd_category")
+    return (s.fact_claim().where(F.col("denial_flag") == 1).select("claim_id", "encounter_key")
+            .join(primary, "encounter_key").join(dx, "diagnosis_key", "left")
+            .select("claim_id", "icd_code", "icd_category"))
+
+
+@query("i28b_encounters_behind_denials", sql("""
+SELECT encounter_type, count(*) AS encounters FROM fact_encounter
+WHERE encounter_key IN (SELECT encounter_key FROM fact_claim WHERE denial_flag = 1) GROUP BY 1"""))
+def i28b(spark, d):
+    """Encounters that have at least one denied claim (semi-join)."""
+    s = Star(spark, d)
+    denied = s.fact_claim().where(F.col("denial_flag") == 1).select("encounter_key")
+    return (s.fact_encounter().join(denied, "encounter_key", "left_semi").groupBy("encounter_type")
+            .agg(F.count(F.lit(1)).alias("encounters")))

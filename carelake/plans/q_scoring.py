@@ -287,3 +287,33 @@ def k19b(spark, d):
     t = traj(Star(spark, d))
     return (t.orderBy(F.col("rolling_spend_90d").desc(), "patient_id").limit(15)
             .select("patient_id", F.col("rolling_spend_90d").cast("double"), "risk_tier"))
+
+
+@query("k18_patient_location", sql(f"""
+SELECT p.patient_id, {rnd('coalesce(a.latitude, c.latitude, f.latitude)')} AS latitude,
+  {rnd('coalesce(a.longitude, c.longitude, f.longitude)')} AS longitude,
+  CASE WHEN a.latitude IS NOT NULL THEN 'adt' WHEN c.latitude IS NOT NULL THEN 'claim' ELSE 'facility' END AS source
+FROM dim_patient p
+LEFT JOIN (SELECT patient_id, latitude, longitude FROM (SELECT *, row_number() OVER (PARTITION BY patient_id
+           ORDER BY event_timestamp DESC, event_id DESC) AS rn FROM adt_events) WHERE rn = 1) a ON p.patient_id = a.patient_id
+LEFT JOIN (SELECT patient_id, latitude, longitude FROM (SELECT *, row_number() OVER (PARTITION BY patient_id
+           ORDER BY event_timestamp DESC, event_id DESC) AS rn FROM claims_events) WHERE rn = 1) c ON p.patient_id = c.patient_id
+LEFT JOIN dim_facility f ON f.zip_code = p.zip_code
+WHERE p.is_current = 1"""))
+def k18(spark, d):
+    """Member location from three sources in order: latest ADT event,
+    latest claim event, home facility (same zip)."""
+    from carelake.operators.windows import latest_by
+    s = Star(spark, d)
+    ev, adt = feeds(s)
+    a = latest_by(adt, "patient_id", ["event_timestamp", "event_id"], ["latitude", "longitude"]) \
+        .withColumnsRenamed({"latitude": "a_lat", "longitude": "a_lon"})
+    c = latest_by(ev, "patient_id", ["event_timestamp", "event_id"], ["latitude", "longitude"]) \
+        .withColumnsRenamed({"latitude": "c_lat", "longitude": "c_lon"})
+    fac = F.broadcast(s.dim_facility().select("zip_code", F.col("latitude").alias("f_lat"),
+                                              F.col("longitude").alias("f_lon")))  # one row per zip
+    p = s.dim_patient().where("is_current = 1").select("patient_id", "zip_code")
+    j = p.join(a, "patient_id", "left").join(c, "patient_id", "left").join(fac, "zip_code", "left")
+    src = F.when(F.col("a_lat").isNotNull(), "adt").when(F.col("c_lat").isNotNull(), "claim").otherwise("facility")
+    return j.select("patient_id", M.rnd(F.coalesce("a_lat", "c_lat", "f_lat")).alias("latitude"),
+                    M.rnd(F.coalesce("a_lon", "c_lon", "f_lon")).alias("longitude"), src.alias("source"))
