@@ -40,7 +40,10 @@ class Star:
     def _snap(self, name: str, build) -> DataFrame:
         if not self.materialise:
             return build()
-        key = (id(self.spark.sparkContext), self.sf_dir, self.as_of, name)
+        sc = self.spark.sparkContext
+        # application id + start time identify this context even if a
+        # stopped context's Python object id is reused by a new one
+        key = (sc.applicationId, sc.startTime, self.sf_dir, self.as_of, name)
         df = _CACHE.get(key)
         if df is None:
             df = materialise(build(), name)
