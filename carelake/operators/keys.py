@@ -58,8 +58,11 @@ def dense_keys(df: DataFrame, bk, key_col: str, start: int | None = 1,
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     bks = _as_list(bk)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in bks])
+    order = [F.col(c).asc_nulls_last() for c in bks]
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (coalescing small ones); ids and positions are taken after that.
+    parted = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ranged = (parted
               .sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in bks])
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))

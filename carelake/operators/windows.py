@@ -73,9 +73,10 @@ def prefix_max_by_key(df: DataFrame, key: str, order: list[str], value: Column,
     """
     from carelake.session import materialise
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(key).asc(), *[F.col(c).asc() for c in order]]
-    ranged = (df.withColumn("_val", value).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    d = df.withColumn("_val", value)
+    parted = d.repartitionByRange(num_partitions, *cols) if num_partitions else d.repartitionByRange(*cols)
+    ranged = (parted.sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()))
     ranged = materialise(ranged, "prefix-max")
     w = Window.partitionBy("_pid", key).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
