@@ -23,3 +23,15 @@ def test_query_matches_oracle(spark, name):
     con = duckdb_conn(SF)
     r = compare(e.queries()[name](spark, SF), e.oracle_sql()[name], con)
     assert r["ok"], r
+
+
+def test_metric_table_filters_each_fact(spark):
+    from carelake.plans.q_reports import metric_table
+    from carelake.plans.star import Star
+    s = Star(spark, SF)
+    df = metric_table(s, "specialty", s.dim_provider(), "provider_key",
+                      {"fact_claim": ["total_claims"], "fact_encounter": ["total_encounters"]},
+                      {"claim_type": ["institutional"]})  # case-insensitive; encounters have no such column
+    got = df.collect()
+    assert sum(r.total_claims or 0 for r in got) == s.fact_claim().where("claim_type = 'Institutional'").count()
+    assert sum(r.total_encounters or 0 for r in got) == s.fact_encounter().where("provider_key IS NOT NULL").count()
