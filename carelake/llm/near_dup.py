@@ -39,6 +39,9 @@ from carelake.session import materialise
 BANDS, ROWS, MANTISSA = 48, 6, 10
 REGISTERS = BANDS * ROWS
 PARITY_WORDS = 32
+#: Up to so many ids (8 bytes each) are broadcast to pick the texts to confirm;
+#: beyond that, the texts are shuffled by id.
+BROADCAST_IDS = 1_000_000
 _U = np.uint64
 _RANK = np.random.default_rng(7).random((REGISTERS, REGISTERS), dtype=np.float32)
 
@@ -179,7 +182,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num
               .select("a", "b", "ra", "rb", "na", "nb")
               .mapInArrow(_estimate(numerator / denominator), "a long, b long"))
     likely = materialise(likely, "near-dup-likely")
-    ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
+    ids = materialise(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct(), "near-dup-ids")
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     # a doc_id that comes with several texts stands for the class of that text only
     sets = materialise(docs.join(ids, "id", "left_semi").select("id", "text")
                        .mapInArrow(_set_rows(k), "id long, items binary"), "near-dup-sets")
