@@ -39,11 +39,12 @@ SEEDS = {
 WEIGHTS = {"insult": 1.0, "insult+target": 1.5, "insult+negation": 0.4, "insult+report": 0.5, "threat+target": 2.0, "threat": 0.3}
 #: At most so many labelled documents per label are used for training (those
 #: with the smallest hash of their id).
-TRAIN_PER_LABEL = 3_000
+TRAIN_PER_LABEL = 6_000
 STEM = (3, 8)
 #: A learned entry must be in so many toxic documents, reach this
-#: log-likelihood ratio, and have this share of its documents toxic (labels balanced).
-LEAST_DOCS, LEAST_RATIO, LEAST_SHARE, MOST_ENTRIES = 5, 25.0, 0.9, 5_000
+#: log-likelihood ratio, and have this share of its documents toxic (in the
+#: sample, and with labels balanced).
+LEAST_DOCS, LEAST_RATIO, LEAST_SHARE, MOST_ENTRIES = 5, 25.0, 0.95, 5_000
 
 _CLAUSE = re.compile(r"[.!?;:,\n]+")
 _WORD = re.compile(r"[\w']+")
@@ -176,7 +177,7 @@ def learn_insults(sample: DataFrame) -> tuple[list[str], list[str]]:
 
     ratio = 2 * (part(F.col("a"), p1) + part(F.col("b"), p0) + part(n1 - F.col("a"), (n1 - F.col("a")) / n1 * p / (1 - p + 1e-12))
                  + part(n0 - F.col("b"), (n0 - F.col("b")) / n0 * p / (1 - p + 1e-12)))
-    found = (entries.where((p1 / (p1 + p0) >= LEAST_SHARE)).withColumn("g", ratio).where(F.col("g") >= LEAST_RATIO)
+    found = (entries.where((p1 / (p1 + p0) >= LEAST_SHARE) & (F.col("a") / (F.col("a") + F.col("b")) >= LEAST_SHARE)).withColumn("g", ratio).where(F.col("g") >= LEAST_RATIO)
              .orderBy(F.desc("g"), "e").limit(MOST_ENTRIES).select("e", "a").collect())
     docs = {r.e: r.a for r in found}
     # A stem whose documents are nearly those of one longer entry says no more
