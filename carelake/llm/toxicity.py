@@ -44,7 +44,10 @@ STEM = (3, 8)
 #: A learned entry must be in so many toxic documents, reach this
 #: log-likelihood ratio, and have this share of its documents toxic (in the
 #: sample, and with labels balanced).
-LEAST_DOCS, LEAST_RATIO, LEAST_SHARE, MOST_ENTRIES = 5, 25.0, 0.95, 5_000
+LEAST_DOCS, LEAST_RATIO, LEAST_SHARE, MOST_ENTRIES = 3, 22.0, 0.95, 5_000
+#: Lists are learned in rounds: each looks only at the toxic documents in
+#: which the grammar accepts nothing yet, so rarer words stand out.
+ROUNDS = 3
 
 _CLAUSE = re.compile(r"[.!?;:,\n]+")
 _WORD = re.compile(r"[\w']+")
@@ -151,6 +154,12 @@ def _feature_rows(words: dict[str, str], stems: tuple[str, ...]):
     return run
 
 
+def _features(rows: DataFrame, words: dict[str, str], stems: tuple[str, ...]) -> DataFrame:
+    """(doc_id, x) of (doc_id, text)."""
+    return rows.select("doc_id", "text").mapInArrow(
+        _feature_rows(words, stems), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, x array<double>")
+
+
 def seed_words() -> dict[str, str]:
     return {w: kind for kind, listed in SEEDS.items() for w in listed.split()}
 
@@ -196,19 +205,25 @@ def learn_insults(sample: DataFrame) -> tuple[list[str], list[str]]:
 
 def learn(sample: DataFrame) -> tuple[dict[str, str], tuple[str, ...], list[float], float]:
     """Word classes, insult stems, weights and intercept from (doc_id, text, label)."""
-    learned, stems = learn_insults(sample)
-    words = seed_words() | dict.fromkeys(learned, INSULT)
+    words, stems, left = seed_words(), (), sample
+    for _ in range(ROUNDS):
+        more, found = learn_insults(left)
+        words |= dict.fromkeys(more, INSULT)
+        stems += tuple(found)
+        if not more and not found:
+            break
+        left = materialise(left.join(
+            _features(left.where("label = 1"), words, stems).where(F.get("x", FEATURES.index("any insult")) > 0)
+            .select("doc_id"), "doc_id", "left_anti"), "toxicity-unexplained")
     fallback = [0.0] * len(FEATURES)
     fallback[FEATURES.index("any insult")], fallback[FEATURES.index("best clause")] = 2.0, 1.0
     if sample.agg(F.countDistinct("label")).first()[0] != 2:
-        return words, tuple(stems), fallback, -3.0
-    data = sample.select("doc_id", "text").mapInArrow(
-        _feature_rows(words, tuple(stems)), f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, x array<double>")
-    data = materialise(data.join(sample.select("doc_id", "label"), "doc_id").select(
+        return words, stems, fallback, -3.0
+    data = materialise(_features(sample, words, stems).join(sample.select("doc_id", "label"), "doc_id").select(
         array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label")), "toxicity-train")
     fit = LogisticRegression(regParam=0.003, standardization=False, maxIter=60,
                              lowerBoundsOnCoefficients=_not_negative()).fit(data)
-    return words, tuple(stems), [float(w) for w in fit.coefficients], float(fit.intercept)
+    return words, stems, [float(w) for w in fit.coefficients], float(fit.intercept)
 
 
 def _not_negative():
@@ -226,7 +241,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col
     score of a text in which the grammar accepts nothing; null ids are kept,
     with held_out false. Without labels of both kinds the seed words and fixed
     weights decide. Repeated rows are scored alike. Other columns are not read."""
-    ids = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .where("label IN (0, 1)").where(~held_out).groupBy("doc_id").agg(F.max("label").alias("label")))
@@ -239,7 +253,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col
     sample = materialise(rows.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]),
                          "toxicity-sample")
     words, stems, weights, intercept = learn(sample)
-    x = rows.mapInArrow(_feature_rows(words, stems), f"doc_id {ids}, x array<double>")
+    x = _features(rows, words, stems)
     raw = sum((F.get("x", i) * w for i, w in enumerate(weights)), F.lit(intercept))
     return (x.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), (1 / (1 + F.exp(-raw))).alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
