@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.session import materialise
@@ -245,10 +246,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .where("label IN (0, 1)").where(~held_out).groupBy("doc_id").agg(F.max("label").alias("label")))
     # choose the sample among labels first: texts of few documents are needed
-    place = Window.partitionBy("label").orderBy("h", "doc_id")
-    chosen = materialise(
-        known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
-        .withColumn("r", F.row_number().over(place)).where(F.col("r") <= TRAIN_PER_LABEL).select("doc_id", "label"),
+    usable = known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = materialise(reduce(DataFrame.unionByName, [
+        usable.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_PER_LABEL) for v in (0, 1)]),
         "toxicity-chosen")
     sample = materialise(rows.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]),
                          "toxicity-sample")
