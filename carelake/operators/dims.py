@@ -49,16 +49,14 @@ def date_dimension(spark: SparkSession, start: str, end: str, fiscal_start_month
     )
 
 
-PAYER_KEYWORDS = [("medicare", "Government"), ("medicaid", "Government"),
-                  ("blue cross", "Commercial"), ("aetna", "Commercial"),
-                  ("united", "Commercial"), ("cigna", "Commercial"),
-                  ("self", "Self-Pay")]
+# FIXED VALUES: keyword in a payer's name -> type; Commercial without any.
+PAYER_KEYWORDS = [("medicare", "Medicare"), ("medicaid", "Medicaid"), ("self", "Self-Pay"), ("cash", "Self-Pay")]
 
 
 def classify_payer(name: Column) -> Column:
     """D12 helper: payer class from keywords in the name."""
     low = F.lower(F.coalesce(name, F.lit("")))
-    out: Column = F.lit("Other")
+    out: Column = F.lit("Commercial")
     for kw, cls in reversed(PAYER_KEYWORDS):
         out = F.when(low.contains(kw), F.lit(cls)).otherwise(out)
     return out

@@ -25,7 +25,8 @@ def pick(values, idx: str) -> str:
 
 
 def ident(prefix: str, expr: str, width: int) -> str:
-    return f"('{prefix}' || lpad(CAST({expr} AS VARCHAR), {width}, '0'))"
+    text = f"CAST({expr} AS VARCHAR)"
+    return f"('{prefix}' || repeat('0', greatest(0, {width} - length({text}))) || {text})"
 
 
 def initcap(expr: str) -> str:
@@ -110,7 +111,7 @@ CTES["silver_providers"] = f"""
 SELECT {ident('PRV', 's_suppkey', 5)} AS provider_id,
   {initcap(pick(vocab.FIRST_NAMES, '(s_suppkey + 3) % 8'))} AS first_name,
   {initcap(pick(vocab.LAST_NAMES, 's_suppkey % 16'))} AS last_name,
-  '1' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS npi,
+  '1' || repeat('0', greatest(0, 9 - length(CAST(s_suppkey AS VARCHAR)))) || CAST(s_suppkey AS VARCHAR) AS npi,
   {pick(vocab.SPECIALTIES, 's_nationkey % 5')} AS specialty,
   {pick(vocab.DEPARTMENTS, 's_nationkey % 3')} AS department,
   {ident('FAC', 's_nationkey', 3)} AS facility_id,
@@ -392,7 +393,7 @@ LEFT JOIN fact_encounter e ON d.encounter_id = e.encounter_id"""
 
 
 CTES["agg_adherence"] = f"""
-SELECT CAST(patient_key * 100000 + medication_key AS BIGINT) AS adherence_key, patient_key, medication_key,
+SELECT CAST(patient_key * (SELECT greatest(100000, max(medication_key) + 1) FROM dim_medication) + medication_key AS BIGINT) AS adherence_key, patient_key, medication_key,
   drug_class, therapeutic_area, measurement_period_start, measurement_period_end, total_fills,
   total_days_supply, days_in_period, covered_days, pdc_score,
   CASE WHEN pdc_score >= 0.80 THEN 'Adherent' WHEN pdc_score >= 0.50 THEN 'Partially Adherent'

@@ -17,9 +17,10 @@ AS_OF_TS = "2024-01-31 00:00:00"
 ALL = {**FRAUD_SQL, **GAP_SQL, **TRAJ_SQL}
 PRIORITY_RANK = {"CRITICAL": 1, "HIGH": 2, "MEDIUM": 3, "LOW": 4}
 # FIXED VALUES: alert type -> (action, destination) for CRITICAL items.
-ROUTES = [("fraud", "Open SIU investigation", "Special Investigations Unit"),
-          ("care_gap", "Schedule gap closure during visit", "Care Coordination"),
-          ("high_cost", "Enroll in case management", "Case Management")]
+ROUTES = [("fraud", "SIU_REFERRAL", "Special Investigations Unit Queue"),
+          ("care_gap", "PROVIDER_ALERT", "Provider Care Team / EHR Alert"),
+          ("high_cost", "CM_REFERRAL", "Care Management Program Referral")]
+OTHER_ROUTE = ("GENERAL_ALERT", "Operations Review Queue")
 
 
 def _rank(col) -> F.Column:
@@ -116,8 +117,9 @@ def _routes_sql() -> str:
 
 
 @query("l14_action_routing", sql(f"""
-SELECT DISTINCT u.patient_id, u.alert_type, r.action, r.destination
-FROM alert_union u JOIN (SELECT * FROM (VALUES {_routes_sql()}) t(alert_type, action, destination)) r
+SELECT DISTINCT u.patient_id, u.alert_type, coalesce(r.action, '{OTHER_ROUTE[0]}') AS action,
+  coalesce(r.destination, '{OTHER_ROUTE[1]}') AS destination
+FROM alert_union u LEFT JOIN (SELECT * FROM (VALUES {_routes_sql()}) t(alert_type, action, destination)) r
   ON u.alert_type = r.alert_type
 WHERE u.priority = 'CRITICAL'""", ALL))
 def l14(spark, d):
@@ -125,8 +127,9 @@ def l14(spark, d):
     lookup of three rows)."""
     s = Star(spark, d)
     routes = spark.createDataFrame(ROUTES, "alert_type string, action string, destination string")
-    return (alert_union(s).where(F.col("priority") == "CRITICAL").join(F.broadcast(routes), "alert_type")
-            .select("patient_id", "alert_type", "action", "destination").distinct())
+    return (alert_union(s).where(F.col("priority") == "CRITICAL").join(F.broadcast(routes), "alert_type", "left")
+            .select("patient_id", "alert_type", F.coalesce("action", F.lit(OTHER_ROUTE[0])).alias("action"),
+                    F.coalesce("destination", F.lit(OTHER_ROUTE[1])).alias("destination")).distinct())
 
 
 @query("l15_co_occurring_alerts", sql("""

@@ -228,9 +228,9 @@ SELECT patient_id, ed_visits_30d FROM (
     FROM adt_events WHERE admission_type = 'EMERGENCY'))
 WHERE rn = 1""",
     "readmit_counts": """
-SELECT patient_id, count(*) FILTER (WHERE n > 1) AS readmission_count_30d FROM (
-  SELECT patient_id, count(*) OVER (PARTITION BY patient_id ORDER BY CAST(event_timestamp AS DATE)
-                                    RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS n
+SELECT patient_id, count(*) FILTER (WHERE date_diff('day', prev, day) <= 30) AS readmission_count_30d FROM (
+  SELECT patient_id, CAST(event_timestamp AS DATE) AS day,
+    lag(CAST(event_timestamp AS DATE)) OVER (PARTITION BY patient_id ORDER BY event_timestamp, event_id) AS prev
   FROM adt_events WHERE event_type = 'ADMIT') GROUP BY 1""",
     "last_facility": """
 SELECT patient_id, facility_id FROM (
@@ -280,13 +280,13 @@ def k19(spark, d):
 
 
 @query("k19b_top_spenders", sql("""
-SELECT patient_id, CAST(r90 AS DOUBLE) AS rolling_spend_90d, risk_tier FROM trajectory
-ORDER BY r90 DESC, patient_id LIMIT 15""", TRAJ_SQL))
+SELECT patient_id, CAST(r30 AS DOUBLE) AS rolling_spend_30d, risk_tier FROM trajectory
+WHERE risk_tier IN ('CRITICAL', 'HIGH') ORDER BY r30 DESC, patient_id LIMIT 15""", TRAJ_SQL))
 def k19b(spark, d):
-    """Top 15 members by 90-day spend."""
-    t = traj(Star(spark, d))
-    return (t.orderBy(F.col("rolling_spend_90d").desc(), "patient_id").limit(15)
-            .select("patient_id", F.col("rolling_spend_90d").cast("double"), "risk_tier"))
+    """The 15 CRITICAL or HIGH members with the largest 30-day spend."""
+    t = traj(Star(spark, d)).where(F.col("risk_tier").isin("CRITICAL", "HIGH"))
+    return (t.orderBy(F.col("rolling_spend_30d").desc(), "patient_id").limit(15)
+            .select("patient_id", F.col("rolling_spend_30d").cast("double"), "risk_tier"))
 
 
 @query("k18_patient_location", sql(f"""

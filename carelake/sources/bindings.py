@@ -24,8 +24,9 @@ from carelake.sources.tables import Tables
 
 
 def _id(prefix: str, key, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string") if isinstance(key, str)
-                                         else key.cast("string"), width, "0"))
+    """Prefix and key, zero-padded to ``width`` and never shortened."""
+    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0")))
 
 
 def _pick(values: list[str], idx: Column) -> Column:
@@ -96,7 +97,7 @@ def raw_providers(t: Tables) -> DataFrame:
         provider_id("s_suppkey").alias("provider_id"),
         _pick(vocab.FIRST_NAMES, (k + 3) % 8).alias("first_name"),
         _pick(vocab.LAST_NAMES, k % 16).alias("last_name"),
-        F.concat(F.lit("1"), F.lpad(k.cast("string"), 9, "0")).alias("npi"),
+        _id("1", k, 9).alias("npi"),
         _pick(vocab.SPECIALTIES, F.col("s_nationkey") % 5).alias("specialty"),
         _pick(vocab.DEPARTMENTS, F.col("s_nationkey") % 3).alias("department"),
         _id("FAC", "s_nationkey", 3).alias("facility_id"),

@@ -46,3 +46,10 @@ def test_date_dimension_fiscal_and_weekend(spark):
     assert d[dt.date(2024, 7, 1)].fiscal_year == 2025 and d[dt.date(2024, 7, 1)].fiscal_quarter == 1
     assert d[dt.date(2024, 3, 2)].is_weekend == 1 and d[dt.date(2024, 3, 1)].is_weekend == 0
     assert d[dt.date(2024, 3, 3)].day_of_week == 1  # Sunday = 1
+
+
+def test_payer_type_from_name(spark):
+    from carelake.operators.dims import classify_payer
+    df = spark.createDataFrame([("Medicare A",), ("State MEDICAID",), ("self pay",), ("Cash",), ("Acme",), (None,)], "n string")
+    assert [r[0] for r in df.select(classify_payer(df.n)).collect()] == [
+        "Medicare", "Medicaid", "Self-Pay", "Self-Pay", "Commercial", "Commercial"]

@@ -46,3 +46,11 @@ def test_duplicate_keys_and_high_water(spark):
     df = spark.createDataFrame([("ENC0001",), ("ENC0001",), ("ENC0042",), (None,)], "id string")
     assert [tuple(r) for r in duplicate_keys(df, "id").collect()] == [("ENC0001", 2)]
     assert high_water(df, "id", r"ENC0*(\d+)").first()[0] == 42
+
+
+def test_long_identifiers_are_never_cut(spark):
+    from pyspark.sql import functions as F
+    from carelake.sources.bindings import _id
+    df = spark.range(99_990, 100_010).unionByName(spark.range(1_000_000, 1_000_010))
+    got = df.select(_id("P", "id", 5).alias("a"), _id("P", F.col("id"), 6).alias("b"))
+    assert got.select("a").distinct().count() == got.select("b").distinct().count() == 30
