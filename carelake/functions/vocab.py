@@ -47,6 +47,10 @@ DEFAULT_DENIAL_ACTION = "Review denial and resubmit"
 
 ACUTE_ENCOUNTER_TYPES = ["inpatient", "emergency"]
 
+# Clinical risk (E4): high-risk primary diagnoses and post-acute dispositions.
+HIGH_RISK_ICD = ["I50.9", "J44.9", "N18.3"]
+POST_ACUTE_DISPOSITIONS = ["SNF", "Rehab", "Home Health"]
+
 # Risk tier cut points: (high, medium).
 ENCOUNTER_RISK_CUTS = (0.7, 0.3)
 CLAIM_RISK_CUTS = (0.6, 0.3)
@@ -77,6 +81,9 @@ ENCOUNTER_TYPE_BY_PRIORITY = {
     "4-NOT SPECIFIED": "Observation",
     "5-LOW": "Telehealth",
 }
+# Standard codes that the part keys stand for in turn.
+STANDARD_ICD = ["I10", "E11.9", "E78.5", "I25.10", "I50.9", "J44.9", "N18.3", "S72.001A", "Z00.00", "J06.9"]
+DISCHARGE_DISPOSITIONS = ["Home", "Home Health", "SNF", "Rehab", "AMA"]
 # Raw denial labels carried by some source claims (variants and one unknown).
 RAW_DENIAL_LABELS = ["Prior Auth Required", "OON", "Missing Docs", "Coding",
                      "Timely Filing", "Not Medically Nec"]

@@ -93,10 +93,12 @@ def assign_stable_keys(src: DataFrame, dim: DataFrame, sk: str, bk) -> DataFrame
     """Keep keys already assigned in ``dim``; new business keys get
     max(sk) + 1, + 2, ... in business-key order.
 
-    The maximum is a one-row aggregate joined in (no driver round trip).
+    The maximum is a one-row aggregate joined in (no driver round trip). Of
+    several versions of a business key the newest (greatest key) counts, so
+    a source row comes back once.
     """
     bks = _as_list(bk)
-    known = dim.select(*bks, sk)
+    known = dim.groupBy(*bks).agg(F.max(sk).alias(sk))
     matched = src.join(known, bks, "inner")
     new = src.join(known, bks, "left_anti")
     hw = dim.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long").alias("_hw"))

@@ -182,7 +182,7 @@ FROM part"""
 
 CTES["dim_diagnosis"] = f"""
 SELECT {ident('ICD', 'p_partkey', 5)} AS icd_code, p_name AS icd_description, p_type AS icd_category,
-  CAST(p_size % 2 AS INTEGER) AS is_chronic,
+  CAST(p_size % 2 AS INTEGER) AS is_chronic, {pick(vocab.STANDARD_ICD, 'p_partkey % 10')} AS standard_code,
   row_number() OVER (ORDER BY {ident('ICD', 'p_partkey', 5)}) AS diagnosis_key
 FROM part"""
 
@@ -199,7 +199,7 @@ SELECT {ident('ENC', 'o_orderkey', 8)} AS encounter_id, {ident('PAT', 'o_custkey
   CASE WHEN min_part IS NOT NULL THEN {ident('ICD', 'min_part', 5)} END AS primary_diagnosis_code,
   {ident('FAC', 'o_orderkey % 25', 3)} AS facility_id,
   CASE o_orderstatus WHEN 'F' THEN 'Elective' WHEN 'O' THEN 'Urgent' END AS admission_type,
-  {pick(['Home', 'Home Health', 'Skilled Nursing', 'Home'], 'o_orderkey % 4')} AS discharge_disposition,
+  {pick(vocab.DISCHARGE_DISPOSITIONS, 'o_orderkey % 5')} AS discharge_disposition,
   o_totalprice AS total_charges,
   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST((o_orderkey * 37) % 100 AS DOUBLE) / 100 END AS readmission_risk
 FROM orders LEFT JOIN order_lines ON o_orderkey = l_orderkey"""
@@ -498,7 +498,8 @@ _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 CTES["landing_events"] = f"""
 SELECT event_id, ts AS event_timestamp,
   CASE event_type WHEN 'purchase' THEN 'claims_events' WHEN 'click' THEN 'claims_events'
-       WHEN 'view' THEN 'adt_events' WHEN 'signup' THEN 'adt_events' ELSE 'rx_events' END AS _table,
+       WHEN 'view' THEN 'adt_events' WHEN 'signup' THEN 'adt_events' WHEN 'error' THEN 'rx_events'
+       ELSE 'unknown_events' END AS _table,
   {ident('PAT', 'user_id', 6)} AS patient_id, {ident('PRV', 'user_id', 5)} AS provider_id,
   {ident('FAC', 'user_id % 25', 3)} AS facility_id,
   CAST(CAST(value AS DECIMAL(18,2)) * 1000 AS DECIMAL(18,2)) AS claim_amount,

@@ -85,7 +85,7 @@ def m05(spark, d):
     pay = g.nodes("Payer").select(F.col("payer_key").alias("yk"), "payer_name")
     a = g.edges("submittedBy").join(prov, F.col("dst") == F.col("pk")).select(F.col("src").alias("claim_id"),
                                                                                "provider_name")
-    b = g.edges("ClaimHasPayer").join(F.broadcast(pay), F.col("dst") == F.col("yk")).select(
+    b = g.edges("ClaimHasPayer").join(pay, F.col("dst") == F.col("yk")).select(
         F.col("src").alias("claim_id"), "payer_name")
     return a.join(b, "claim_id")
 
@@ -135,7 +135,7 @@ JOIN dim_provider p ON c.provider_key = p.provider_key AND p.is_current = 1 GROU
 def m08(spark, d):
     """M8: aggregation over a path, grouped by both ends."""
     g = graph(Star(spark, d))
-    pay = F.broadcast(g.nodes("Payer").select(F.col("payer_key").alias("y"), "payer_name"))
+    pay = g.nodes("Payer").select(F.col("payer_key").alias("y"), "payer_name")
     prov = g.nodes("Provider").select(F.col("provider_key").alias("p"), "specialty")
     a = g.edges("ClaimHasPayer").join(pay, F.col("dst") == F.col("y")).select(F.col("src").alias("c"), "payer_name")
     b = g.edges("submittedBy").join(prov, F.col("dst") == F.col("p")).select(F.col("src").alias("c"), "specialty")
@@ -151,7 +151,7 @@ FROM (SELECT DISTINCT y.payer_name, e.encounter_key, e.readmission_flag
 def m09(spark, d):
     """M9: two counts over Payer <- Claim -> Encounter on distinct encounters."""
     g = graph(Star(spark, d))
-    pay = F.broadcast(g.nodes("Payer").select(F.col("payer_key").alias("y"), "payer_name"))
+    pay = g.nodes("Payer").select(F.col("payer_key").alias("y"), "payer_name")
     a = g.edges("ClaimHasPayer").join(pay, F.col("dst") == F.col("y")).select(F.col("src").alias("c"), "payer_name")
     b = g.edges("billsFor").select(F.col("src").alias("c"), F.col("dst").alias("encounter_key"))
     enc = g.nodes("Encounter").select("encounter_key", "readmission_flag")
@@ -242,7 +242,7 @@ def m14(spark, d):
     """Prescription -> Medication and -> Payer, cost per pair."""
     g = graph(Star(spark, d))
     rx = g.nodes("Prescription").select("prescription_id", "payer_key", "medication_key", "total_cost")
-    pay = F.broadcast(g.nodes("Payer").select("payer_key", "payer_name"))
+    pay = g.nodes("Payer").select("payer_key", "payer_name")
     med = g.nodes("Medication").select("medication_key", "drug_class")
     return (rx.join(pay, "payer_key").join(med, "medication_key").groupBy("payer_name", "drug_class")
             .agg(F.count(F.lit(1)).alias("prescriptions"), M.money(F.sum("total_cost")).alias("total_cost")))

@@ -85,7 +85,8 @@ def a09(spark, d):
         IO.append_evolving(observed, f"{root}/{name}")
         rows.append(IO.audit_row(spark, name, "OK", obs.get["row_count"], None))
     expected = spark.createDataFrame([("claims",), ("patients",), ("missing_table",)], "table string")
-    found = spark.createDataFrame([("claims",), ("patients",)], "table string")
+    found = IO.list_files(spark, f"{root}/*/*.parquet").select(
+        F.element_at(F.split("path", "/"), -2).alias("table"))
     missing = IO.manifest_check(expected, found).select(
         F.col("table").alias("table_name"), F.lit("MISSING").alias("status"),
         F.lit(None).cast("long").alias("row_count"))

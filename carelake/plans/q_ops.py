@@ -11,6 +11,7 @@ from carelake.plans.oracle import rnd, sql
 from carelake.plans.q_scoring import FRAUD_SQL, GAP_SQL, TRAJ_SQL, feeds, fraud, gap_alerts, traj
 from carelake.plans.registry import query
 from carelake.plans.star import Star
+from carelake.session import materialise
 from carelake.sources import bindings as B
 
 AS_OF_TS = "2024-01-31 00:00:00"
@@ -32,24 +33,56 @@ def _rank(col) -> F.Column:
 
 RANK_SQL = "CASE {c} WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END"
 ALL["alert_union"] = """
-SELECT e.patient_id, 'fraud' AS alert_type, f.risk_tier AS priority
-FROM fraud_tiered f JOIN claims_events e ON f.claim_id = e.claim_id WHERE f.risk_tier <> 'LOW'
-UNION ALL SELECT patient_id, 'care_gap', alert_priority FROM gap_alerts
-UNION ALL SELECT patient_id, 'high_cost', risk_tier FROM trajectory WHERE risk_tier <> 'LOW'"""
+SELECT patient_id, 'fraud' AS alert_type, risk_tier AS priority, claim_id AS alert_id,
+  'Fraud score: ' || CAST(fraud_score AS VARCHAR) || ' | Flags: ' || fraud_flags AS detail
+FROM fraud_tiered
+UNION ALL SELECT patient_id, 'care_gap', alert_priority, CAST(event_id AS VARCHAR) || ':' || measure_id,
+  'Gap: ' || measure_name || ' | Overdue: ' || CAST(gap_days_overdue AS VARCHAR) || 'd'
+FROM gap_alerts
+UNION ALL SELECT patient_id, 'high_cost', risk_tier, patient_id,
+  '30d spend: $' || CAST(CAST(r30 AS DECIMAL(28,2)) AS VARCHAR) || ' | ED visits: ' || CAST(ed_visits_30d AS VARCHAR)
+    || ' | Trend: ' || cost_trend
+FROM trajectory"""
+ALL["raised_alerts"] = "SELECT * FROM alert_union WHERE priority <> 'LOW'"
+ALL["worklist"] = f"""
+SELECT patient_id, list_sort(list_distinct(list(alert_type))) AS alert_types,
+  min({RANK_SQL.format(c='priority')}) AS top_priority_rank, count(*) AS alerts,
+  count(*) FILTER (WHERE alert_type = 'fraud') AS fraud_alerts,
+  count(*) FILTER (WHERE alert_type = 'care_gap') AS care_gap_alerts,
+  count(*) FILTER (WHERE alert_type = 'high_cost') AS high_cost_alerts
+FROM alert_union GROUP BY 1 ORDER BY top_priority_rank, alerts DESC, patient_id LIMIT 100"""
 
 
 def alert_union(s: Star):
-    """All three alert tables in one shape: patient, type, priority."""
-    ev, _ = feeds(s)
-    f = (fraud(s).where(F.col("risk_tier") != "LOW").select("patient_id", F.lit("fraud").alias("alert_type"),
-                                                             F.col("risk_tier").alias("priority")))
-    g = gap_alerts(s).select("patient_id", F.lit("care_gap").alias("alert_type"),
-                             F.col("alert_priority").alias("priority"))
-    h = (traj(s).where(F.col("risk_tier") != "LOW")
-         .select("patient_id", F.lit("high_cost").alias("alert_type"), F.col("risk_tier").alias("priority")))
+    """All three alert tables in one shape, every tier: patient, type,
+    priority, id, detail."""
+    def shape(df, kind, tier, alert_id, *detail):
+        return df.select("patient_id", F.lit(kind).alias("alert_type"), F.col(tier).alias("priority"),
+                         alert_id.alias("alert_id"), F.concat(*detail).alias("detail"))
+
+    text = lambda c: F.col(c).cast("string")
+    f = shape(fraud(s), "fraud", "risk_tier", F.col("claim_id"),
+              F.lit("Fraud score: "), text("fraud_score"), F.lit(" | Flags: "), "fraud_flags")
+    g = shape(gap_alerts(s), "care_gap", "alert_priority", F.concat_ws(":", text("event_id"), "measure_id"),
+              F.lit("Gap: "), "measure_name", F.lit(" | Overdue: "), text("gap_days_overdue"), F.lit("d"))
+    h = shape(traj(s), "high_cost", "risk_tier", F.col("patient_id"),
+              F.lit("30d spend: $"), F.col("rolling_spend_30d").cast("decimal(28,2)").cast("string"),
+              F.lit(" | ED visits: "), text("ed_visits_30d"), F.lit(" | Trend: "), "cost_trend")
     return f.unionByName(g).unionByName(h)
 
 
+def worklist(u, size: int = 100):
+    """Per patient the set of alert types (at most three), best priority
+    and counts; the ``size`` patients with the best priority."""
+    t = F.col("alert_type")
+    g = u.groupBy("patient_id").agg(
+        F.array_sort(F.collect_set("alert_type")).alias("alert_types"),
+        F.min(_rank(F.col("priority"))).alias("top_priority_rank"), F.count(F.lit(1)).alias("alerts"),
+        F.count_if(t == "fraud").alias("fraud_alerts"), F.count_if(t == "care_gap").alias("care_gap_alerts"),
+        F.count_if(t == "high_cost").alias("high_cost_alerts"))
+    return g.orderBy("top_priority_rank", F.col("alerts").desc(), "patient_id").limit(size)
+
+
 @query("l04_tumbling_5min_counts", sql("""
 SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start, _table, count(*) AS events
 FROM landing_events GROUP BY 1, 2"""))
@@ -92,24 +125,22 @@ def l06(spark, d, as_of: str = AS_OF_TS):
                     F.when(mins > 60, "CRITICAL").when(mins > 15, "WARNING").otherwise("OK").alias("status"))
 
 
-@query("l13_unified_worklist", sql(f"""
-SELECT patient_id, list_sort(list_distinct(list(alert_type))) AS alert_types,
-  min({RANK_SQL.format(c='priority')}) AS top_priority_rank, count(*) AS alerts,
-  count(*) FILTER (WHERE alert_type = 'fraud') AS fraud_alerts,
-  count(*) FILTER (WHERE alert_type = 'care_gap') AS care_gap_alerts,
-  count(*) FILTER (WHERE alert_type = 'high_cost') AS high_cost_alerts
-FROM alert_union GROUP BY 1 ORDER BY top_priority_rank, alerts DESC, patient_id LIMIT 100""", ALL))
+@query("l13_unified_worklist", sql("SELECT * FROM worklist", ALL))
 def l13(spark, d):
-    """Unified worklist: per patient the set of alert types (at most
-    three), best priority and per-type counts; the top 100 by priority."""
-    u = alert_union(Star(spark, d))
-    t = F.col("alert_type")
-    g = u.groupBy("patient_id").agg(
-        F.array_sort(F.collect_set("alert_type")).alias("alert_types"),
-        F.min(_rank(F.col("priority"))).alias("top_priority_rank"), F.count(F.lit(1)).alias("alerts"),
-        F.count_if(t == "fraud").alias("fraud_alerts"), F.count_if(t == "care_gap").alias("care_gap_alerts"),
-        F.count_if(t == "high_cost").alias("high_cost_alerts"))
-    return g.orderBy("top_priority_rank", F.col("alerts").desc(), "patient_id").limit(100)
+    """Unified worklist over alerts of every tier; the top 100 patients."""
+    return worklist(alert_union(Star(spark, d)))
+
+
+@query("l13b_worklist_alerts", sql("""
+SELECT u.patient_id, w.top_priority_rank, u.alert_type, u.alert_id, u.detail, u.priority AS tier
+FROM alert_union u JOIN worklist w ON u.patient_id = w.patient_id""", ALL))
+def l13b(spark, d):
+    """The alerts behind the worklist, one row each rather than a list
+    per patient, so a patient with a third of all alerts stays spread out."""
+    u = materialise(alert_union(Star(spark, d)), "alert-union")
+    top = F.broadcast(worklist(u).select("patient_id", "top_priority_rank"))  # at most 100 rows
+    return u.join(top, "patient_id").select("patient_id", "top_priority_rank", "alert_type", "alert_id", "detail",
+                                            F.col("priority").alias("tier"))
 
 
 def _routes_sql() -> str:
@@ -134,21 +165,22 @@ def l14(spark, d):
 
 @query("l15_co_occurring_alerts", sql("""
 SELECT patient_id, 'fraud+high_cost' AS pattern FROM (
-  SELECT patient_id FROM alert_union WHERE alert_type = 'fraud'
-  INTERSECT SELECT patient_id FROM alert_union WHERE alert_type = 'high_cost')
+  SELECT patient_id FROM raised_alerts WHERE alert_type = 'fraud'
+  INTERSECT SELECT patient_id FROM raised_alerts WHERE alert_type = 'high_cost')
 UNION ALL
 SELECT patient_id, 'high_cost+care_gap' FROM (
-  SELECT patient_id FROM alert_union WHERE alert_type = 'high_cost'
-  INTERSECT SELECT patient_id FROM alert_union WHERE alert_type = 'care_gap')""", ALL))
+  SELECT patient_id FROM raised_alerts WHERE alert_type = 'high_cost'
+  INTERSECT SELECT patient_id FROM raised_alerts WHERE alert_type = 'care_gap')""", ALL))
 def l15(spark, d):
-    """Patients with co-occurring alert types (set intersections)."""
-    u = alert_union(Star(spark, d))
-
-    def ids(t):
-        return u.where(F.col("alert_type") == t).select("patient_id")
-    a = ids("fraud").intersect(ids("high_cost")).withColumn("pattern", F.lit("fraud+high_cost"))
-    b = ids("high_cost").intersect(ids("care_gap")).withColumn("pattern", F.lit("high_cost+care_gap"))
-    return a.unionByName(b)
+    """Patients with co-occurring alert types, from one aggregate of
+    flags per patient (each alert table is scored once)."""
+    t = F.col("alert_type")
+    has = alert_union(Star(spark, d)).where(F.col("priority") != "LOW").groupBy("patient_id").agg(
+        *[F.max(t == k).alias(k) for k in ("fraud", "care_gap", "high_cost")])
+    patterns = F.array_compact(F.array(
+        F.when(F.col("fraud") & F.col("high_cost"), F.lit("fraud+high_cost")),
+        F.when(F.col("high_cost") & F.col("care_gap"), F.lit("high_cost+care_gap"))))
+    return has.select("patient_id", F.explode(patterns).alias("pattern"))
 
 
 @query("l18_live_counts", sql("""

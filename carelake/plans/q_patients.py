@@ -158,7 +158,7 @@ def i30(spark, d):
     s = Star(spark, d)
     hi = s.fact_encounter().where(F.col("readmission_risk_category") == "High").select("patient_key")
     na = adherence(s).where(F.col("adherence_category") == "Non-Adherent").select("patient_key")
-    py = F.broadcast(s.dim_payer().select("payer_key", "payer_name"))
+    py = s.dim_payer().select("payer_key", "payer_name")
     return (s.fact_prescription().join(hi, "patient_key", "left_semi").join(na, "patient_key", "left_semi")
             .join(py, "payer_key").groupBy("payer_name")
             .agg(F.countDistinct("patient_key").alias("patients"), M.money(F.sum("total_cost")).alias("rx_cost")))

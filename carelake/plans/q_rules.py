@@ -20,29 +20,38 @@ SELECT encounter_type, count(*) AS encounters, {rnd('avg(score)')} AS avg_clinic
   count(*) FILTER (WHERE score >= 0.7) AS high_risk
 FROM (
   SELECT e.encounter_type, {rnd('''least(greatest(0.15::DOUBLE
-      + CASE lower(coalesce(e.encounter_type, '')) WHEN 'inpatient' THEN 0.15::DOUBLE WHEN 'emergency' THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END
-      + CASE WHEN coalesce(e.length_of_stay, 0) >= 7 THEN 0.15::DOUBLE WHEN coalesce(e.length_of_stay, 0) >= 4 THEN 0.08::DOUBLE ELSE 0.0::DOUBLE END
-      + CASE WHEN CAST(e.total_charges AS DOUBLE) > 50000 THEN 0.10::DOUBLE WHEN CAST(e.total_charges AS DOUBLE) > 20000 THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END
-      + least(coalesce(x.n, 0) * 0.05::DOUBLE, 0.20::DOUBLE)
-      + CASE WHEN contains(lower(coalesce(e.discharge_disposition, '')), 'skilled') THEN 0.10::DOUBLE
-             WHEN contains(lower(coalesce(e.discharge_disposition, '')), 'home health') THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END,
+      + CASE WHEN e.encounter_type IN ('Inpatient', 'Emergency') THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END
+      + CASE WHEN e.length_of_stay > 7 THEN 0.15::DOUBLE WHEN e.length_of_stay > 3 THEN 0.08::DOUBLE ELSE 0.0::DOUBLE END
+      + CASE WHEN e.total_charges > 50000 THEN 0.10::DOUBLE WHEN e.total_charges > 20000 THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END
+      + CASE WHEN x.is_chronic = 1 THEN 0.12::DOUBLE ELSE 0.0::DOUBLE END
+      + CASE WHEN x.standard_code IN ('I50.9', 'J44.9', 'N18.3') THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END
+      + CASE WHEN e.discharge_disposition IN ('SNF', 'Rehab', 'Home Health') THEN 0.08::DOUBLE
+             WHEN e.discharge_disposition = 'AMA' THEN 0.20::DOUBLE ELSE 0.0::DOUBLE END,
       0.01::DOUBLE), 0.99::DOUBLE)''')} AS score
-  FROM fact_encounter e LEFT JOIN (SELECT encounter_key, count(*) AS n FROM fact_diagnosis WHERE is_chronic = 1
-                                    GROUP BY 1) x ON e.encounter_key = x.encounter_key)
+  FROM fact_encounter e LEFT JOIN dim_diagnosis x ON e.primary_diagnosis_code = x.icd_code)
 GROUP BY 1"""))
 def e04(spark, d):
-    """Additive clinical risk score (type, stay, charges, chronic
-    diagnoses, disposition), clamped to [.01, .99]."""
+    """Additive clinical risk score (type, stay, charges, primary
+    diagnosis, disposition), clamped to [.01, .99]."""
     s = Star(spark, d)
-    n = (s.fact_diagnosis().where("is_chronic = 1").groupBy("encounter_key").agg(F.count(F.lit(1)).alias("n")))
-    e = s.fact_encounter().join(n, "encounter_key", "left")
+    dx = s.dim_diagnosis().select(F.col("icd_code").alias("primary_diagnosis_code"), "is_chronic", "standard_code")
+    e = s.fact_encounter().join(dx, "primary_diagnosis_code", "left")
     score = E.clinical_risk_score(F.col("encounter_type"), F.col("length_of_stay"), F.col("total_charges"),
-                                  F.col("n"), F.col("discharge_disposition"))
+                                  F.col("is_chronic"), F.col("standard_code"), F.col("discharge_disposition"))
     return e.withColumn("score", score).groupBy("encounter_type").agg(
         F.count(F.lit(1)).alias("encounters"), M.rnd(F.avg("score")).alias("avg_clinical_risk"),
         F.count_if(F.col("score") >= 0.7).alias("high_risk"))
 
 
+@query("e14_denial_actions", sql("""
+SELECT primary_denial_reason, recommended_action, count(*) AS claims, CAST(sum(denial_flag) AS BIGINT) AS denied
+FROM fact_claim GROUP BY 1, 2"""))
+def e14(spark, d):
+    """Canonical denial reasons with their next step."""
+    return Star(spark, d).fact_claim().groupBy("primary_denial_reason", "recommended_action").agg(
+        F.count(F.lit(1)).alias("claims"), F.sum("denial_flag").cast("long").alias("denied"))
+
+
 @query("e16_claim_lifecycle", sql(f"""
 SELECT claim_status, count(*) AS claims, count(payment_date) AS with_payment_date, count(paid_amount) AS with_payment
 FROM (SELECT claim_status,
@@ -68,7 +77,7 @@ def e18(spark, d):
     """One payer per encounter (latest claim wins), then its key."""
     s = Star(spark, d)
     bridge = E.one_per_group(s.silver_claims(), "encounter_id", ["claim_date", "payer_id"], "payer_id")
-    py = F.broadcast(s.dim_payer().select("payer_id", "payer_name"))  # bounded payer vocabulary
+    py = s.dim_payer().select("payer_id", "payer_name")
     return bridge.join(py, "payer_id").groupBy("payer_name").agg(F.count(F.lit(1)).alias("encounters"))
 
 

@@ -197,7 +197,7 @@ FROM fact_prescription r JOIN dim_payer py ON r.payer_key = py.payer_key GROUP B
 def i22(spark, d):
     """Prescription cost by payer and the share shifted to patients."""
     s = Star(spark, d)
-    py = F.broadcast(s.dim_payer().select("payer_key", "payer_name"))  # bounded payer vocabulary
+    py = s.dim_payer().select("payer_key", "payer_name")
     return (s.fact_prescription().join(py, "payer_key").groupBy("payer_name").agg(
         M.money(F.sum("total_cost")).alias("total_cost"), M.money(F.sum("payer_paid")).alias("payer_paid"),
         M.money(F.sum("patient_copay")).alias("patient_paid"),
@@ -212,7 +212,7 @@ JOIN dim_medication m ON r.medication_key = m.medication_key GROUP BY 1, 2"""))
 def i23(spark, d):
     """Average copay by payer x drug class."""
     s = Star(spark, d)
-    py = F.broadcast(s.dim_payer().select("payer_key", "payer_name"))
+    py = s.dim_payer().select("payer_key", "payer_name")
     meds = s.dim_medication().select("medication_key", "drug_class")
     return (s.fact_prescription().join(py, "payer_key").join(meds, "medication_key")
             .groupBy("payer_name", "drug_class")
@@ -227,7 +227,7 @@ JOIN dim_medication m ON r.medication_key = m.medication_key WHERE m.is_chronic
 def i24(spark, d):
     """Chronic medication cost burden by payer."""
     s = Star(spark, d)
-    py = F.broadcast(s.dim_payer().select("payer_key", "payer_name"))
+    py = s.dim_payer().select("payer_key", "payer_name")
     meds = s.dim_medication().where("is_chronic = 1").select("medication_key")
     return (s.fact_prescription().join(meds, "medication_key").join(py, "payer_key").groupBy("payer_name")
             .agg(F.count(F.lit(1)).alias("fills"), M.money(F.sum("total_cost")).alias("chronic_cost")))
@@ -239,7 +239,7 @@ FROM fact_prescription r JOIN dim_payer py ON r.payer_key = py.payer_key GROUP B
 def i25(spark, d):
     """Provider-payer prescription network (weighted edges)."""
     s = Star(spark, d)
-    py = F.broadcast(s.dim_payer().select("payer_key", "payer_name"))
+    py = s.dim_payer().select("payer_key", "payer_name")
     return (s.fact_prescription().join(py, "payer_key").groupBy("provider_id", "payer_name")
             .agg(F.count(F.lit(1)).alias("prescriptions"), M.money(F.sum("total_cost")).alias("total_cost")))
 

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from carelake.functions.exprs import hash_bucket
 from carelake.operators import scoring as K
 from carelake.plans import metrics as M
-from carelake.plans.oracle import AS_OF, rnd, sql
+from carelake.plans.oracle import AS_OF, hb, lst, rnd, sql
 from carelake.plans.registry import query
 from carelake.plans.star import Star
 from carelake.sources import bindings as B
@@ -120,14 +121,20 @@ def k04b(spark, d):
 
 def _gaps(s: Star):
     pats = s.dim_patient().where("is_current = 1").select("patient_id", "age", "gender")
-    chronic = s.fact_diagnosis().where("is_chronic = 1").select("patient_id")
-    last = (s.fact_encounter().where(F.col("encounter_type") == "Outpatient").groupBy("patient_id")
-            .agg(F.max("encounter_date").alias("last_service_date")))
-    return K.hedis_gaps(pats, chronic, last, K.hedis_measures(s.spark), AS_OF)
+    codes = s.dim_diagnosis().select("icd_code", F.col("standard_code").alias("code"))
+    conditions = s.fact_diagnosis().select("patient_id", "icd_code").join(codes, "icd_code").select("patient_id", "code")
+    # an outpatient visit renders the service of one measure, by its id
+    ids = F.array(*[F.lit(m[0]) for m in K.HEDIS_MEASURES])
+    served = F.element_at(ids, hash_bucket("encounter_id", len(K.HEDIS_MEASURES)) + 1)
+    last = (s.fact_encounter().where(F.col("encounter_type") == "Outpatient")
+            .groupBy("patient_id", served.alias("measure_id")).agg(F.max("encounter_date").alias("last_service_date")))
+    return K.hedis_gaps(pats, conditions, last, K.hedis_measures(s.spark), AS_OF)
 
 
 def _hedis_values() -> str:
     def lit(v):
+        if isinstance(v, list):
+            return f"CAST({lst(v)} AS VARCHAR[])"
         if isinstance(v, bool):
             return "true" if v else "false"
         return str(v) if isinstance(v, int) else "'" + v + "'"
@@ -136,7 +143,14 @@ def _hedis_values() -> str:
 
 GAP_SQL = {
     "hedis": f"""SELECT * FROM (VALUES {_hedis_values()}) t(measure_id, measure_name, description,
-        frequency_months, age_min, age_max, female_only, needs_condition)""",
+        frequency_months, age_min, age_max, female_only, target_icd)""",
+    "hedis_qualified": """
+SELECT DISTINCT d.patient_id, t.measure_id FROM fact_diagnosis d JOIN dim_diagnosis x ON d.icd_code = x.icd_code
+JOIN (SELECT measure_id, unnest(target_icd) AS code FROM hedis) t ON t.code = x.standard_code""",
+    "hedis_services": f"""
+SELECT patient_id, {lst([m[0] for m in K.HEDIS_MEASURES])}[{hb('encounter_id', len(K.HEDIS_MEASURES))} + 1] AS measure_id,
+  max(encounter_date) AS last_service_date
+FROM fact_encounter WHERE encounter_type = 'Outpatient' GROUP BY 1, 2""",
     "hedis_gaps": f"""
 SELECT patient_id, measure_id, measure_name, (due IS NULL OR due < DATE '{AS_OF}') AS is_gap_open,
   last_service_date, due AS due_date,
@@ -147,10 +161,9 @@ FROM (
     CAST(l.last_service_date + to_months(m.frequency_months) AS DATE) AS due
   FROM dim_patient p JOIN hedis m ON p.age >= m.age_min AND p.age <= m.age_max
     AND (NOT m.female_only OR p.gender = 'Female')
-  LEFT JOIN (SELECT patient_id, max(encounter_date) AS last_service_date FROM fact_encounter
-             WHERE encounter_type = 'Outpatient' GROUP BY 1) l ON p.patient_id = l.patient_id
-  WHERE p.is_current = 1
-    AND (NOT m.needs_condition OR p.patient_id IN (SELECT patient_id FROM fact_diagnosis WHERE is_chronic = 1)))""",
+  LEFT JOIN hedis_services l ON p.patient_id = l.patient_id AND m.measure_id = l.measure_id
+  LEFT JOIN hedis_qualified q ON p.patient_id = q.patient_id AND m.measure_id = q.measure_id
+  WHERE p.is_current = 1 AND (len(m.target_icd) = 0 OR q.patient_id IS NOT NULL))""",
 }
 GAP_SQL["gap_alerts"] = """
 SELECT event_id, event_timestamp, patient_id, facility_id, facility_name, measure_id, measure_name, gap_days_overdue,

@@ -184,9 +184,8 @@ class Star:
         def build():
             c = self.silver_claims()
             py = self.dim_payer().select("payer_id", "payer_key", "payer_name", "payer_type")
-            # dim_payer is derived from distinct payer ids: bounded by the
-            # payer vocabulary, not by claim volume.
-            c = c.join(F.broadcast(py), "payer_id", "left")
+            # no hint: dirty payer ids would grow dim_payer, so its size decides
+            c = c.join(py, "payer_id", "left")
             c = E.score_claims(c)
             c = E.resolve_fk(c, self.dim_patient(), "patient_id", "patient_key")
             c = E.resolve_fk(c, self.dim_provider(), "provider_id", "provider_key")
@@ -217,7 +216,7 @@ class Star:
             enc = self.fact_encounter().select(F.col("encounter_id").alias("_eid"), "encounter_key")
             r = r.join(enc, r["encounter_id"] == enc["_eid"], "left").drop("_eid")
             py = self.dim_payer().select("payer_id", "payer_key")
-            r = r.join(F.broadcast(py), "payer_id", "left")
+            r = r.join(py, "payer_id", "left")
             return r.select(
                 "prescription_id", "patient_id", "provider_id", "payer_id", "encounter_id", "medication_code",
                 "patient_key", "provider_key", "medication_key", "encounter_key", "payer_key",

@@ -167,6 +167,7 @@ def raw_icd(t: Tables) -> DataFrame:
         F.col("p_name").alias("icd_description"),
         F.col("p_type").alias("icd_category"),
         (F.col("p_size") % 2).cast("int").alias("is_chronic"),
+        _pick(vocab.STANDARD_ICD, F.col("p_partkey") % len(vocab.STANDARD_ICD)).alias("standard_code"),
     )
 
 
@@ -205,7 +206,7 @@ def raw_encounters(t: Tables) -> DataFrame:
                 _id("FAC", k % 25, 3).alias("facility_id"),
                 F.when(F.col("o_orderstatus") == "F", F.lit("Elective"))
                  .when(F.col("o_orderstatus") == "O", F.lit("Urgent")).alias("admission_type"),
-                _pick(["Home", "Home Health", "Skilled Nursing", "Home"], k % 4).alias("discharge_disposition"),
+                _pick(vocab.DISCHARGE_DISPOSITIONS, k % 5).alias("discharge_disposition"),
                 F.col("o_totalprice").alias("total_charges"),
                 F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("double"))
                  .otherwise(((k * 37) % 100).cast("double") / 100).alias("readmission_risk"),
@@ -308,7 +309,7 @@ def landing_events(t: Tables) -> DataFrame:
     """
     e = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props")
     k = F.from_json("props", PROPS_SCHEMA).getField("k")
-    route = F.lit("rx_events")
+    route = F.lit("unknown_events")  # set aside, not mixed into a typed feed
     for src, dst in reversed(list(EVENT_ROUTES.items())):
         route = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(route)
     lat = F.lit(40.0) + (k % 20) * 0.1

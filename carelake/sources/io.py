@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +40,9 @@ def with_lineage(df: DataFrame, source: str) -> DataFrame:
     try:
         cols["_source_file"] = F.col("_metadata.file_path")
         return df.withColumns(cols)
-    except Exception:  # not a file source
+    except AnalysisException as e:  # not a file source
+        if "_metadata" not in str(e):
+            raise
         cols.pop("_source_file")
         return df.withColumns(cols)
 
@@ -96,15 +99,18 @@ def audit_row(spark: SparkSession, table: str, status: str, rows: int | None, er
 
 def first_available(spark: SparkSession, candidates: Iterable, empty_schema: T.StructType | str) -> DataFrame:
     """A10: first candidate that resolves (catalog table name, or a
-    callable returning a DataFrame), else a typed empty frame."""
+    callable returning a DataFrame), else a typed empty frame. Only a table
+    or path that does not exist is passed over; any other failure is raised."""
     for c in candidates:
-        try:
-            if callable(c):
-                return c()
+        if not callable(c):
             if spark.catalog.tableExists(c):
                 return spark.table(c)
-        except Exception:
             continue
+        try:
+            return c()
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+                raise
     return spark.createDataFrame([], empty_schema)
 
 
