@@ -65,7 +65,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).alias("id"), word_hashes(F.col(item_text_col)).alias("h")).distinct()
     seeds = _windows(items).select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "seed").distinct()
-    items = items.toDF("item_id", "item_h")
+    # items without a seed match nothing; the others have at most five words a seed
+    items = items.where(F.size("h") >= len(MASKS[0])).toDF("item_id", "item_h")
     if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         seeds, items = F.broadcast(seeds), F.broadcast(items)
     docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
