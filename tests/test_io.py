@@ -40,3 +40,12 @@ def test_union_evolving_manifest_and_required_columns(spark):
     assert [r.table for r in IO.manifest_check(exp, found).collect()] == ["payers"]
     with pytest.raises(ValueError, match="missing required columns"):
         require_columns(a, ["id", "claim_date"], "claims")
+
+
+def test_first_available_passes_over_missing_inputs_only(spark):
+    gone = lambda: spark.read.parquet("/no/such/folder")
+    assert IO.first_available(spark, ["no_such_table", gone, lambda: spark.range(3)], "id long").count() == 3
+    assert IO.first_available(spark, [gone], "id long").count() == 0
+    with pytest.raises(ZeroDivisionError):
+        IO.first_available(spark, [lambda: 1 / 0], "id long")
+    assert "_source_file" not in IO.with_lineage(spark.range(1), "memory").columns

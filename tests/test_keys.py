@@ -42,6 +42,12 @@ def test_stable_keys_keep_old_and_number_new_after_max(spark):
     assert got == {"A": 1, "C": 7, "B": 8, "D": 9}
 
 
+def test_stable_keys_of_a_versioned_dimension_come_back_once(spark):
+    old = spark.createDataFrame([("A", 1), ("A", 4), ("C", 2)], "bk string, k long")
+    src = spark.createDataFrame([("A",), ("B",)], "bk string")
+    assert sorted(tuple(r) for r in assign_stable_keys(src, old, "k", "bk").collect()) == [("A", 4), ("B", 5)]
+
+
 def test_duplicate_keys_and_high_water(spark):
     df = spark.createDataFrame([("ENC0001",), ("ENC0001",), ("ENC0042",), (None,)], "id string")
     assert [tuple(r) for r in duplicate_keys(df, "id").collect()] == [("ENC0001", 2)]
