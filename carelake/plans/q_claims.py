@@ -199,6 +199,20 @@ def i33(spark, d):
     return agg.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
 
 
+@query("i33b_top_payer_per_reason", sql("""
+SELECT primary_denial_reason, payer_name, denied_claims FROM (
+  SELECT primary_denial_reason, payer_name, count(*) AS denied_claims,
+    row_number() OVER (PARTITION BY primary_denial_reason ORDER BY count(*) DESC, payer_name) AS rn
+  FROM fact_claim WHERE denial_flag = 1 GROUP BY 1, 2) WHERE rn = 1"""))
+def i33b(spark, d):
+    """The payer that leads in each denial reason (the window runs over
+    one row per reason and payer)."""
+    agg = (_fc(spark, d).where(F.col("denial_flag") == 1)
+           .groupBy("primary_denial_reason", "payer_name").agg(F.count(F.lit(1)).alias("denied_claims")))
+    w = Window.partitionBy("primary_denial_reason").orderBy(F.col("denied_claims").desc(), "payer_name")
+    return agg.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+
+
 @query("i34_facility_denial_leader", sql(f"""
 SELECT f.facility_name, r.total_claims, r.denial_rate, t.primary_denial_reason AS top_reason
 FROM (SELECT facility_key, count(*) AS total_claims,
@@ -254,6 +268,28 @@ def i36(spark, d):
             .agg(F.count(F.lit(1)).alias("total_claims"), M.denial_rate().alias("denial_rate")))
 
 
+@query("i36b_denial_by_diagnosis_code", sql(f"""
+SELECT primary_diagnosis_code, count(*) AS total_claims, {RATE} AS denial_rate FROM fact_claim GROUP BY 1"""))
+def i36b(spark, d):
+    """Denial rate by diagnosis code."""
+    return (_fc(spark, d).groupBy("primary_diagnosis_code")
+            .agg(F.count(F.lit(1)).alias("total_claims"), M.denial_rate().alias("denial_rate")))
+
+
+@query("i36c_denial_by_encounter_type", sql(f"""
+SELECT e.encounter_type, count(*) AS total_claims, {rnd("CAST(sum(c.denial_flag) AS DOUBLE) / count(*)")} AS denial_rate
+FROM fact_claim c JOIN fact_encounter e ON c.encounter_key = e.encounter_key GROUP BY 1"""))
+def i36c(spark, d):
+    """Denial rate by encounter type; claims are summed per encounter
+    before the join."""
+    s = Star(spark, d)
+    per = (s.fact_claim().groupBy("encounter_key")
+           .agg(F.count(F.lit(1)).alias("n"), F.sum("denial_flag").alias("denied")))
+    return (per.join(s.fact_encounter().select("encounter_key", "encounter_type"), "encounter_key")
+            .groupBy("encounter_type").agg(F.sum("n").alias("total_claims"),
+                                           M.rate(F.sum("denied"), F.sum("n")).alias("denial_rate")))
+
+
 @query("i37_providers_denial_over_10pct", sql(f"""
 SELECT provider_id, count(*) AS total_claims, {RATE} AS denial_rate
 FROM fact_claim GROUP BY provider_id HAVING CAST(sum(denial_flag) AS DOUBLE) / count(*) > 0.10"""))

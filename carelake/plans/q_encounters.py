@@ -176,6 +176,27 @@ def i38(spark, d, target: float = 0.15):
             .drop("_r"))
 
 
+@query("i38b_readmission_12_month_trend", sql(f"""
+SELECT x.icd_category, strftime(e.encounter_date, '%Y-%m') AS month, count(*) AS encounters,
+  {rnd('CAST(sum(e.readmission_flag) AS DOUBLE) / count(*)')} AS readmission_rate
+FROM fact_encounter e JOIN dim_diagnosis x ON e.primary_diagnosis_code = x.icd_code
+WHERE strftime(e.encounter_date, '%Y-%m') > (
+  SELECT strftime(max(encounter_date) - INTERVAL 12 MONTH, '%Y-%m') FROM fact_encounter)
+GROUP BY 1, 2"""))
+def i38b(spark, d):
+    """Monthly readmission rate by condition over the last 12 calendar
+    months of the data."""
+    s = Star(spark, d)
+    fe = s.fact_encounter().select("encounter_date", "primary_diagnosis_code", "readmission_flag")
+    last = fe.agg(F.date_format(F.add_months(F.max("encounter_date"), -12), "yyyy-MM").alias("_before"))
+    dx = s.dim_diagnosis().select(F.col("icd_code").alias("primary_diagnosis_code"), "icd_category")
+    return (fe.withColumn("month", F.date_format("encounter_date", "yyyy-MM"))
+            .crossJoin(F.broadcast(last))  # one row
+            .where(F.col("month") > F.col("_before")).join(dx, "primary_diagnosis_code")
+            .groupBy("icd_category", "month")
+            .agg(F.count(F.lit(1)).alias("encounters"), M.readmission_rate().alias("readmission_rate")))
+
+
 @query("i40_followup_within_7_days", sql(f"""
 SELECT count(*) AS readmitted_encounters, count(*) FILTER (WHERE hit) AS with_followup,
   {rnd('CAST(count(*) FILTER (WHERE hit) AS DOUBLE) / count(*)')} AS followup_share

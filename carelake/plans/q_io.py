@@ -50,16 +50,8 @@ def a02(spark, d):
     flat = enc.where(F.col("admit_date") < "1998-01-01")
     dated = enc.where(F.col("admit_date") >= "1998-01-01")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in enc.schema.fields)
-    flat.write.option("header", True).csv(f"{root}/tmp_flat")
-    dated.drop("readmission_risk").write.option("header", True).csv(f"{root}/2024-06-01/tmp_dated")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    # name the part files the way the feed does: <table>_*.csv
-    for src, dst in ((f"{root}/tmp_flat", root), (f"{root}/2024-06-01/tmp_dated", f"{root}/2024-06-01")):
-        p = jvm.org.apache.hadoop.fs.Path(src)
-        fs = p.getFileSystem(conf)
-        for i, st in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{src}/part-*.csv"))):
-            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{dst}/encounters_{i:05d}.csv"))
+    flat.write.option("header", True).csv(f"{root}/encounters_001.csv")
+    dated.write.option("header", True).csv(f"{root}/2024-06-01/encounters_001.csv")
     both = IO.read_csv_increment(spark, root, "encounters", schema)
     base = both.where(F.col("admit_date") < "1998-01-01")
     incr = both.where(F.col("admit_date") >= "1998-01-01").drop("readmission_risk")

@@ -274,6 +274,18 @@ def i41b(spark, d):
             .select("medication_name", "members", M.rnd(F.col("_avg")).alias("avg_pdc")))
 
 
+@query("i41d_below_target_by_class", sql(f"""
+SELECT drug_class, count(*) AS members, count(*) FILTER (WHERE pdc_score < 0.80) AS below_target,
+  {rnd("CAST(count(*) FILTER (WHERE pdc_score < 0.80) AS DOUBLE) / count(*)")} AS below_target_rate
+FROM agg_adherence GROUP BY 1"""))
+def i41d(spark, d):
+    """Members under a PDC of 0.80 in each drug class."""
+    low = F.count_if(F.col("pdc_score") < 0.80)
+    return adherence(Star(spark, d)).groupBy("drug_class").agg(
+        F.count(F.lit(1)).alias("members"), low.alias("below_target"),
+        M.rate(low, F.count(F.lit(1))).alias("below_target_rate"))
+
+
 @query("i41c_adherence_6_month_trend", sql(f"""
 SELECT year, half, count(*) AS members,
   {rnd("CAST(count(*) FILTER (WHERE pdc >= 0.80) AS DOUBLE) / count(*)")} AS adherent_rate

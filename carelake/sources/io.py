@@ -27,11 +27,12 @@ def read_csv_full(spark: SparkSession, path: str | list[str], schema: T.StructTy
 
 
 def read_csv_increment(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
-    """A2: increment files named ``<table>_*.csv``, flat in ``root`` or in
-    dated sub-folders, read in one scan (recursive lookup + file-name
-    filter, so an empty layout is simply zero rows)."""
-    return (spark.read.option("header", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", f"{table}_*.csv").schema(schema).csv(root))
+    """A2: increments named ``<table>_*.csv`` (files, or folders of part
+    files as Spark writes them), flat in ``root`` or in dated sub-folders, read
+    in one scan. Without any increment the result has zero rows."""
+    layouts = f"{root.rstrip('/')}/{{{table}_*.csv,*/{table}_*.csv}}"
+    return first_available(spark, [
+        lambda: spark.read.option("header", True).schema(schema).csv(layouts)], schema)
 
 
 def with_lineage(df: DataFrame, source: str) -> DataFrame:
