@@ -17,14 +17,25 @@ from carelake.operators.keys import assign_stable_keys, dense_keys
 
 
 def date_dimension(spark: SparkSession, start: str, end: str, fiscal_start_month: int = 7) -> DataFrame:
-    """One row per day with calendar and fiscal attributes.
+    """D1 over a given range of days."""
+    span = spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
+    return calendar(span, fiscal_start_month)
 
-    ``sequence`` + ``explode`` generates the days on executors; the range
-    is a parameter (the reference fixes 2020-2030).
-    """
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"),
-                             F.expr("interval 1 day"))).alias("full_date"))
+
+def data_span(dates: DataFrame) -> DataFrame:
+    """(start, end), one row: the years of the one date column of ``dates`` and
+    the year after, in which what began at their end is paid or closed. No
+    row without a date."""
+    d = F.col(dates.columns[0]).cast("date")
+    return (dates.agg(F.trunc(F.min(d), "year").alias("start"),
+                      F.date_sub(F.add_months(F.trunc(F.max(d), "year"), 24), 1).alias("end"))
+            .where(F.col("start").isNotNull()))
+
+
+def calendar(span: DataFrame, fiscal_start_month: int = 7) -> DataFrame:
+    """One row per day of ``span`` (start, end) with calendar and fiscal
+    attributes. ``sequence`` + ``explode`` generates the days on executors."""
+    days = span.select(F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("full_date"))
     d = F.col("full_date")
     m = F.month(d)
     fs = fiscal_start_month
@@ -219,7 +230,7 @@ def upsert(target: DataFrame, src: DataFrame, key: str, sk: str | None = None) -
 
 
 __all__ = [
-    "date_dimension", "derive_payers", "classify_payer", "weighted_index", "svi_tier",
+    "date_dimension", "data_span", "calendar", "derive_payers", "classify_payer", "weighted_index", "svi_tier",
     "harmonise_sdoh", "scd2_initial", "scd2_changes", "scd2_new", "scd2_expire", "scd2_apply",
     "current_rows", "version_counts", "upsert", "assign_stable_keys", "SVI_WEIGHTS",
 ]

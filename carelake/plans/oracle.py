@@ -13,7 +13,7 @@ import re
 from carelake.functions import vocab
 
 AS_OF = "2002-01-01"
-DATE_START, DATE_END = "1995-01-01", "2001-12-31"
+DATE_START = "1995-01-01"
 
 
 def lst(values) -> str:
@@ -418,7 +418,7 @@ FROM (
           sum(fp.patient_copay) AS total_patient_cost
         FROM fact_prescription fp JOIN dim_medication m ON fp.medication_key = m.medication_key
         WHERE fp.patient_key IS NOT NULL AND fp.medication_key IS NOT NULL AND m.is_chronic = 1
-          AND fp.fill_date BETWEEN DATE '{DATE_START}' AND DATE '{DATE_END}'
+          AND fp.fill_date IS NOT NULL
         GROUP BY fp.patient_key, fp.medication_key, m.drug_class, m.therapeutic_area))))"""
 
 CTES["chronic_fills"] = """
@@ -492,7 +492,10 @@ SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d
   CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend, 0 AS is_holiday,
   CAST(CASE WHEN month(d) >= 7 THEN year(d) + 1 ELSE year(d) END AS INTEGER) AS fiscal_year,
   CAST(floor(((month(d) - 7 + 12) % 12) / 3) + 1 AS INTEGER) AS fiscal_quarter
-FROM (SELECT CAST(unnest(generate_series(DATE '{DATE_START}', DATE '{DATE_END}', INTERVAL 1 DAY)) AS DATE) AS d)"""
+FROM (SELECT CAST(unnest(generate_series(make_date(y1, 1, 1), make_date(y2 + 1, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM (SELECT CAST(least(o1, l1) AS INTEGER) AS y1, CAST(greatest(o2, l2) AS INTEGER) AS y2
+    FROM (SELECT year(min(CAST(o_orderdate AS DATE))) AS o1, year(max(CAST(o_orderdate AS DATE))) AS o2 FROM orders),
+         (SELECT year(min(CAST(l_shipdate AS DATE))) AS l1, year(max(CAST(l_shipdate AS DATE))) AS l2 FROM lineitem)))"""
 
 _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 CTES["landing_events"] = f"""

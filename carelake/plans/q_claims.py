@@ -315,9 +315,7 @@ def h16(spark, d):
 
 @query("h17_paid_by_payment_month", sql(f"""
 SELECT d.year, d.month_number, CAST(round(sum(c.paid_amount), 2) AS DOUBLE) AS paid_by_payment_date
-FROM fact_claim c JOIN (SELECT CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER) AS date_key,
-  CAST(year(full_date) AS INTEGER) AS year, CAST(month(full_date) AS INTEGER) AS month_number
-  FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS full_date)) d
+FROM fact_claim c JOIN dim_date d
   ON c.payment_date_key = d.date_key
 GROUP BY d.year, d.month_number"""))
 def h17(spark, d):

@@ -10,7 +10,7 @@ from carelake.operators.enrich import lookup_join
 from carelake.operators.keys import assign_stable_keys, dense_keys, duplicate_keys, high_water
 from carelake.plans.oracle import AS_OF, sql
 from carelake.plans.registry import query
-from carelake.plans.star import DATE_END, DATE_START, Star
+from carelake.plans.star import Star
 from carelake.sources import bindings as B
 
 SNAP1 = "1997-01-01"     # as-of date of the earlier dimension snapshot
@@ -20,7 +20,7 @@ UPSERT_CUT, UPSERT_FROM = "2000-01-01", "1999-07-01"
 @query("d01_date_dimension", sql("SELECT * FROM dim_date"))
 def d01(spark, d):
     """Date dimension with a July fiscal year (range from the data)."""
-    return D.date_dimension(spark, DATE_START, DATE_END)
+    return Star(spark, d).dim_date()
 
 
 @query("d03_dense_encounter_keys", sql("SELECT encounter_id, encounter_key FROM fact_encounter"))

@@ -13,7 +13,7 @@ from carelake.plans.star import Star
 
 def adherence(s: Star):
     """F4 over the star (the reference PDC)."""
-    return A.pdc_simple(s.fact_prescription(), s.dim_medication(), s.dim_date())
+    return A.pdc_simple(s.fact_prescription(), s.dim_medication())
 
 
 def chronic_fills(s: Star):

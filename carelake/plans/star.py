@@ -22,7 +22,7 @@ from carelake.sources import bindings as B
 from carelake.sources.tables import Tables
 
 AS_OF = "2002-01-01"          # as-of date for ages, tenure, days open
-DATE_START, DATE_END = "1995-01-01", "2001-12-31"
+DATE_START = "1995-01-01"    # effective date of initial dimension versions
 MONEY = "decimal(18,2)"
 
 _CACHE: dict[tuple, DataFrame] = {}
@@ -102,7 +102,11 @@ class Star:
 
     # -- dimensions ------------------------------------------------------------
     def dim_date(self) -> DataFrame:
-        return self._snap("dim_date", lambda: D.date_dimension(self.spark, DATE_START, DATE_END))
+        """The range comes from the data, so no fact date falls outside."""
+        def build():
+            return D.calendar(D.data_span(self.t.orders.select(F.col("o_orderdate").cast("date").alias("d")).unionByName(
+                self.t.lineitem.select(F.col("l_shipdate").cast("date").alias("d")))))
+        return self._snap("dim_date", build)
 
     def dim_patient(self) -> DataFrame:
         def build():

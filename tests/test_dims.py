@@ -53,3 +53,11 @@ def test_payer_type_from_name(spark):
     df = spark.createDataFrame([("Medicare A",), ("State MEDICAID",), ("self pay",), ("Cash",), ("Acme",), (None,)], "n string")
     assert [r[0] for r in df.select(classify_payer(df.n)).collect()] == [
         "Medicare", "Medicaid", "Self-Pay", "Self-Pay", "Commercial", "Commercial"]
+
+
+def test_calendar_takes_its_range_from_the_data(spark):
+    dates = spark.createDataFrame([("1999-05-04",), ("2000-02-29",), (None,)], "d string").select(F.col("d").cast("date"))
+    days = D.calendar(D.data_span(dates))
+    got = days.agg(F.min("full_date"), F.max("full_date"), F.count("*")).first()
+    assert (str(got[0]), str(got[1]), got[2]) == ("1999-01-01", "2001-12-31", 365 + 366 + 365)
+    assert D.calendar(D.data_span(dates.where("false"))).count() == 0

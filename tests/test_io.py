@@ -49,3 +49,14 @@ def test_first_available_passes_over_missing_inputs_only(spark):
     with pytest.raises(ZeroDivisionError):
         IO.first_available(spark, [lambda: 1 / 0], "id long")
     assert "_source_file" not in IO.with_lineage(spark.range(1), "memory").columns
+
+
+def test_increments_in_both_layouts_or_none(spark):
+    root = tempfile.mkdtemp(prefix="carelake-increments-")
+    assert IO.read_csv_increment(spark, root, "claims", "claim_id string").count() == 0
+    os.makedirs(f"{root}/2024-06-01")
+    for path, key in ((f"{root}/claims_1.csv", "C1"), (f"{root}/2024-06-01/claims_2.csv", "C2"), (f"{root}/other_1.csv", "X")):
+        with open(path, "w") as f:
+            f.write(f"claim_id\n{key}\n")
+    got = sorted(r.claim_id for r in IO.read_csv_increment(spark, root, "claims", "claim_id string").collect())
+    assert got == ["C1", "C2"]
