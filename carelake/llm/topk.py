@@ -96,6 +96,13 @@ def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.nda
     return scores[order], ids[order]
 
 
+def _cap_range(d: float, t: float) -> tuple[float, float]:
+    """Least and largest coordinate of the unit vectors whose cosine with a
+    unit vector is at least ``t``, where that vector's coordinate is ``d``."""
+    spread = np.sqrt(max(0.0, (1 - d * d) * (1 - t * t)))
+    return -1.0 if d <= -t else d * t - spread, 1.0 if d >= t else d * t + spread
+
+
 def _search_block(q: np.ndarray, q_ids: np.ndarray, bound: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int):
     """(query_id, vec_id, score) arrays: per query the best k of the block that
     can still matter. ``bound`` is NaN where a query has no bound yet."""
@@ -123,8 +130,8 @@ def _search_block(q: np.ndarray, q_ids: np.ndarray, bound: np.ndarray, c: np.nda
             t, direction = min(local[i], 1.0), q[i] / q_len[i]
             live = c_len >= bound[i] / q_len[i] * (1 - slack)
             for f in np.argsort(-np.abs(direction))[:FOCUS]:
-                spread = np.sqrt(max(0.0, (1 - direction[f] ** 2) * (1 - t * t)))
-                live &= np.abs(unit[:, f] - direction[f] * t) <= spread + 1e-7
+                least, most = _cap_range(direction[f], t)
+                live &= (unit[:, f] >= least - 1e-7) & (unit[:, f] <= most + 1e-7)
             if live.any():
                 out.append((i, *_best(_products(q[i:i + 1], c[live])[0], c_ids[live], q_ids[i], k)))
     if not out:

@@ -149,6 +149,38 @@ def test_top_k_equals_brute_force(spark):
     assert top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_prunes_keep_concentrated_answers(spark, monkeypatch):
+    from carelake.llm import topk
+    q, c = np.array([[100, 10, 5, 3]]), np.array([[95, 10, 5, 3], [70, 60, 30, 20], [60, 50, 50, 40]])
+    for bound, want in ((7500.0, {1: 9634, 2: 7810}), (9000.0, {1: 9634})):
+        _, ids, scores = topk._search_block(q, np.array([0]), np.array([bound]), c, np.array([1, 2, 3]), 5)
+        assert {i: s for i, s in zip(ids.tolist(), scores.tolist()) if s >= bound} == want
+    rng, pruned = np.random.default_rng(6), []
+    for _ in range(300):  # directions in the cap stay in the range, and reach its ends
+        x = rng.normal(size=(2000, 3))
+        x /= np.sqrt((x ** 2).sum(axis=1))[:, None]
+        t = rng.uniform(0.6, 0.95)
+        near, (least, most) = x[x @ x[0] >= t], topk._cap_range(x[0, 0], t)
+        assert least - 1e-9 <= near[:, 0].min() and near[:, 0].max() <= most + 1e-9
+        pruned.append(((x[:, 0] < least) | (x[:, 0] > most)).mean())
+    assert np.mean(pruned) > 0.2
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(topk, "PER_PARTITION", 64)
+    v = []
+    for i in range(400):
+        x = rng.integers(-12, 12, 5)
+        x[rng.integers(0, 5)] = rng.choice([-1, 1]) * rng.integers(60, 120)
+        v.append((i, [int(c) for c in x]))
+    df = spark.createDataFrame(v, "vec_id long, v array<long>")
+    got = {}
+    for r in topk.top_k(df, df.where("vec_id % 10 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(0, 400, 10):
+        s = sorted((-sum(x * y for x, y in zip(v[q][1], c)), i) for i, c in v if i != q)[:5]
+        assert sorted(got[q]) == [(n + 1, i, -p) for n, (p, i) in enumerate(s)]
+
+
 def test_token_counts_equal_greedy_splitting(spark):
     vocabulary = sentencepiece_vocabulary(sentencepiece_model())
     have = set(vocabulary)
