@@ -313,6 +313,35 @@ def test_toxicity_grammar_and_scores(spark):
     assert bare == {1: 1, 2: 0}
 
 
+def rare(spark, make_common, make_rare, doubtful, n=1200):
+    """Labelled documents, one in ten of the rare kind; of each kind some are doubtful."""
+    rng = random.Random(12)
+    rows = [(i, doubtful(rng) if i % 7 == 0 else make_rare(rng) if i % 10 == 0 else make_common(rng), int(i % 10 == 0)) for i in range(n)]
+    return (spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"),
+            spark.createDataFrame([(r[0], r[2], 1 - r[2]) for r in rows], "doc_id long, toxic int, quality int"))
+
+
+def test_toxicity_scores_hardly_depend_on_the_sample(spark, monkeypatch):
+    from carelake.llm import toxicity
+    docs, labels = rare(spark, lambda r: text_of(r, 30) + ".", lambda r: text_of(r, 20) + ". you idiot " + text_of(r, 9),
+                        lambda r: text_of(r, 20) + ". it is not stupid " + text_of(r, 9))
+    whole = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels, F.lit(False)).collect()}
+    monkeypatch.setattr(toxicity, "TRAIN_PER_LABEL", 100)
+    cut = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels, F.lit(False)).collect()}
+    apart = max(abs(whole[i] - cut[i]) for i in whole)
+    assert apart < 0.1 and all((whole[i] >= 0.3) == (cut[i] >= 0.3) for i in whole), apart
+
+
+def test_quality_threshold_hardly_depends_on_the_sample(spark, monkeypatch):
+    from carelake.llm import quality
+    some = lambda r: text_of(r, r.randint(20, 80))
+    docs, labels = rare(spark, some, lambda r: text_of(r, r.randint(10, 60)), some)
+    whole = [r.predicted for r in quality.quality_scores(docs, labels, F.lit(False)).collect()]
+    monkeypatch.setattr(quality, "TRAIN_PER_LABEL", 100)
+    cut = [r.predicted for r in quality.quality_scores(docs, labels, F.lit(False)).collect()]
+    assert abs(np.mean(whole) - np.mean(cut)) < 0.1
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline as p
     sf = "/root/testdata/sf0.001"
