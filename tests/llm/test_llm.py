@@ -250,6 +250,28 @@ def test_decontamination_finds_substituted_passages(spark):
     assert contamination(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items_equals_brute_force(spark):
+    from itertools import combinations
+    items, docs = [], []
+    for n in range(1, 14):
+        words = [f"w{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(words)))
+        for k in range(n // 5 + 2):
+            for gone in list(combinations(range(n), k))[:60 if k > n // 5 else None]:
+                w = ["zzz" if j in gone else x for j, x in enumerate(words)]
+                docs += [(len(docs), " ".join(w)), (len(docs) + 1, " ".join(["pre", *w, "post"]))]
+        docs += [(len(docs), " ".join(words[1:])), (len(docs) + 1, " ".join(words[:-1]))]
+    want, of = {}, {n: t.split() for n, t in items}
+    for i, text in docs:
+        w = text.split()
+        for n, x in of.items():
+            same = [sum(0 <= s + j < len(w) and w[s + j] == x[j] for j in range(n)) for s in range(-n, max(1, len(w)))]
+            if 100 * max(same) >= 80 * n:
+                want[i, n] = max(same)
+    got = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): r.matched_words for r in got.collect()} == want
+
+
 def test_codec_has_parity_with_the_library(spark):
     import sentencepiece
     model = sentencepiece_model()
