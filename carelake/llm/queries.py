@@ -50,7 +50,7 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(_table(spark, sf_dir, "documents"), sentencepiece_vocabulary(sentencepiece_model()))
+    return token_counts(_table(spark, sf_dir, "documents"), sentencepiece_vocabulary(sentencepiece_model()), longest=None)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"\w+|[^\w\s]")
-#: A word longer than this counts as unknown, as in the usual greedy splitter.
+#: A word longer than this counts as unknown by default, as in the usual greedy
+#: splitter; the registered query sets no limit.
 LONGEST = 100
 #: Counts remembered per task; forgotten all at once when full.
 REMEMBERED = 300_000
@@ -93,7 +94,7 @@ class LongestMatch:
 _automata: dict[tuple, LongestMatch] = {}
 
 
-def _counter(vocabulary: tuple[str, ...], lower: bool):
+def _counter(vocabulary: tuple[str, ...], lower: bool, longest: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = (len(vocabulary), hash(vocabulary))
         if key not in _automata:
@@ -110,7 +111,9 @@ def _counter(vocabulary: tuple[str, ...], lower: bool):
                     if n is None:
                         if len(known) >= REMEMBERED:
                             known.clear()
-                        n = known[w] = count(w) if len(w) <= LONGEST else 0
+                        n = count(w) if longest is None or len(w) <= longest else 0
+                        if len(w) <= LONGEST:  # longer ones hardly come again
+                            known[w] = n
                     if n:
                         total += n
                     else:
@@ -125,13 +128,13 @@ def _counter(vocabulary: tuple[str, ...], lower: bool):
 
 
 def token_counts(docs: DataFrame, vocabulary: Iterable[str], id_col: str = "doc_id", text_col: str = "text",
-                 lower: bool = False) -> DataFrame:
+                 lower: bool = False, longest: int | None = LONGEST) -> DataFrame:
     """(doc_id, n_words, n_tokens, n_unknown), one row per row of ``docs``.
 
     Words are runs of word characters, and single other characters but white
-    space. A word that can't be split (or is longer than LONGEST) counts as
-    one unknown token; n_tokens includes those. Null and empty texts have
+    space. A word that can't be split (or is longer than ``longest``, if
+    that is not None) counts as one unknown token; n_tokens includes those. Null and empty texts have
     counts of 0. Other columns are not read; null ids are kept."""
     ids = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _counter(tuple(vocabulary), lower), f"doc_id {ids}, n_words long, n_tokens long, n_unknown long")
+        _counter(tuple(vocabulary), lower, longest), f"doc_id {ids}, n_words long, n_tokens long, n_unknown long")

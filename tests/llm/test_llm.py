@@ -205,6 +205,19 @@ def test_token_counts_equal_greedy_splitting(spark):
     assert next(r for r in got if r.doc_id == 1).n_tokens == 0
 
 
+def test_token_counts_split_long_words(spark, tmp_path):
+    from carelake.llm.queries import op4_token_counts
+    have, rng = set(sentencepiece_vocabulary(sentencepiece_model())), random.Random(7)
+    word = "".join(rng.choice("abcdefghij0123") for _ in range(5000))
+    at = n = 0
+    while at < len(word):
+        at = next(to for to in range(min(len(word), at + 40), at, -1) if ("##" if at else "") + word[at:to] in have)
+        n += 1
+    spark.createDataFrame([(1, word)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    (row,) = op4_token_counts(spark, str(tmp_path)).collect()
+    assert (row.n_words, row.n_tokens, row.n_unknown) == (1, n, 0)
+
+
 def test_pseudonyms_keep_format_and_link(spark):
     def luhn(d):
         return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
