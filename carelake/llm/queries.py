@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from carelake.llm import sharding, url_filter
 from carelake.llm.decontaminate import contamination
+from carelake.llm.merkle import document_proofs
 from carelake.llm.near_dup import near_duplicates
 from carelake.llm.pii import pseudonymise
 from carelake.llm.quality import quality_scores
+from carelake.llm.ranked_search import ranked_search
+from carelake.llm.reply_trees import conversation_digest
 from carelake.llm.sentencepiece_codec import encoding_digest
 from carelake.llm.token_count import sentencepiece_vocabulary, token_counts
 from carelake.llm.topk import scaled_integers, top_k
@@ -78,6 +81,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digest(_table(spark, sf_dir, "documents"), sentencepiece_model())
 
 
+def op11_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.sql("SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+                      "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    return conversation_digest(_table(spark, sf_dir, "conversations").select(*probe.columns).unionByName(probe))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return document_proofs(docs, held_out(3, 0)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 OP3_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -140,8 +159,98 @@ SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched_words, CAST(max
   TRUE AS contaminated
 FROM f WHERE pos + 1 >= width AND 100 * run >= 80 * width GROUP BY 1, 2"""
 
+OP11_SQL = r"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+  FROM (SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 ELSE 19 + length(regexp_replace(
+      regexp_replace(regexp_replace(role, '\[(~*/?INST\])', '[~\1', 'g'), '<(~*(?:/?s>|a>|</?SYS>>|/turn>|\|))', '<~\1', 'g'),
+      '\|(~*>)', '|~\1', 'g')) END
+    + length(regexp_replace(
+      regexp_replace(regexp_replace(text, '\[(~*/?INST\])', '[~\1', 'g'), '<(~*(?:/?s>|a>|</?SYS>>|/turn>|\|))', '<~\1', 'g'),
+      '\|(~*>)', '|~\1', 'g')) AS width FROM m)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(width) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+OP12_SQL = r"""
+WITH w AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+d AS MATERIALIZED (SELECT r, doc_id, t, CAST(len(t) AS BIGINT) AS n FROM w WHERE len(t) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+f AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY 1, 2),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+g AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM f, s GROUP BY term),
+c AS (
+  SELECT i.item_id, d.doc_id, f.r,
+    CAST(sum(g.weight * ((1000000000 * f.tf) // (1000 * f.tf + 20 * (50 + (50 * d.n * s.docs) // s.terms)))) AS BIGINT) AS score
+  FROM i JOIN f ON f.term = i.term JOIN g ON g.term = i.term JOIN d ON d.r = f.r, s GROUP BY 1, 2, 3),
+k AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM c WHERE score > 0)
+SELECT * FROM k WHERE rank <= 50"""
+
+OP13_SQL = """
+WITH RECURSIVE x AS (
+  SELECT *, crc32 = 0 AS tampered, row_number() OVER () AS r FROM (
+    SELECT *, list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda v, i: xor(v >> 1, (v & 1) * 3988292384))) AS crc FROM documents)
+    d, LATERAL (SELECT coalesce(xor(d.crc, 4294967295) % 3, 1) AS crc32)),
+f AS (
+  SELECT r, doc_id, lang, tampered, head || coalesce(strlen(text) || ':' || text, '-') AS whole,
+    head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS low
+  FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM x)),
+leaf AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS LAST, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM (
+    SELECT r, doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g, sha256(whole) AS h,
+      sha256(CASE WHEN tampered THEN low ELSE whole END) AS claimed FROM f)),
+t(g, n, lvl, idx, h) AS (
+  SELECT g, n, 0, pos, h FROM leaf
+  UNION ALL
+  SELECT g, (n + 7) // 8, lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM t WHERE n > 1 GROUP BY g, n, lvl, idx // 8),
+sub AS MATERIALIZED (SELECT g, h, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(n, lvl, idx, h) AS (
+  SELECT n, 0, pos, h FROM sub
+  UNION ALL
+  SELECT (n + 7) // 8, lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM u WHERE n > 1 GROUP BY n, lvl, idx // 8),
+ln AS MATERIALIZED (SELECT * FROM t), un AS MATERIALIZED (SELECT * FROM u),
+side AS (
+  SELECT leaf.r, a.lvl, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS rt
+  FROM leaf JOIN ln a ON a.g = leaf.g AND a.n > 1 AND a.idx = leaf.pos // CAST(pow(8, a.lvl) AS BIGINT)
+  JOIN ln b ON b.g = a.g AND b.lvl = a.lvl AND b.idx // 8 = a.idx // 8 GROUP BY leaf.r, a.lvl
+  UNION ALL
+  SELECT leaf.r, 100 + a.lvl, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), ''),
+    coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '')
+  FROM leaf JOIN sub ON sub.g = leaf.g JOIN un a ON a.n > 1 AND a.idx = sub.pos // CAST(pow(8, a.lvl) AS BIGINT)
+  JOIN un b ON b.lvl = a.lvl AND b.idx // 8 = a.idx // 8 GROUP BY leaf.r, a.lvl),
+step AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lvl) AS k FROM side),
+fold(r, k, h) AS (
+  SELECT r, 1, claimed FROM leaf
+  UNION ALL
+  SELECT fold.r, fold.k + 1, sha256(l || fold.h || rt) FROM fold JOIN step ON step.r = fold.r AND step.k = fold.k)
+SELECT leaf.doc_id, leaf.h AS leaf, sub.h AS subroot, top.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+  z.h AS folded_root, z.h = top.h AS verified
+FROM leaf JOIN sub ON sub.g = leaf.g CROSS JOIN (SELECT h FROM un WHERE n = 1) top
+LEFT JOIN (SELECT r, string_agg(l || rt, '' ORDER BY lvl) AS proof FROM side GROUP BY r) p ON p.r = leaf.r
+JOIN (SELECT r, arg_max(h, k) AS h FROM fold GROUP BY r) z ON z.r = leaf.r"""
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_url_filter, op3_topk_search, op4_token_counts, op5_pii, op6_quality, op7_near_duplicates,
-    op8_toxicity, op9_decontamination, op10_sentencepiece)}
+    op8_toxicity, op9_decontamination, op10_sentencepiece, op11_reply_trees, op12_ranked_search, op13_merkle_manifest)}
 ORACLE = {"op1_sharding": sharding.oracle_sql(), "op3_topk_search": OP3_SQL, "op7_near_duplicates": OP7_SQL,
-          "op9_decontamination": OP9_SQL}
+          "op9_decontamination": OP9_SQL, "op11_reply_trees": OP11_SQL, "op12_ranked_search": OP12_SQL,
+          "op13_merkle_manifest": OP13_SQL}
