@@ -11,7 +11,8 @@ different ones stay different:
 * IPv4 addresses
 * calendar dates (ISO, day.month.year, month/day/year or day/month/year):
   permuted among the days of their century, so the result is a valid date
-* e-mail addresses: letters and digits before the @ are permuted in place
+* e-mail addresses (at most 64 characters before the @, host labels of at most
+  63, at most 128 of them): letters and digits before the @ are permuted in place
 
 Separators and spelling stay. Numbers that fail their validation, and all
 other text, are left as they are.
@@ -27,7 +28,10 @@ ROUNDS = 10
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 IP_PART = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{IP_PART}\.){{3}}{IP_PART}(?![0-9]|\.[0-9])"
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# A run of address characters is tried once, from its start or from where the last
+# match ended, and never given back, so long runs cost no more than their length.
+EMAIL = (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]{1,64}+@"
+         r"[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,126}\.[A-Za-z]{2,}")
 PHONE = r"(?<![0-9])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DATE = (r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\2[0-9]{4})"
@@ -204,9 +208,12 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: bool
     A null text stays null with counts of 0, an empty one empty. All rows and
     all other columns stay; a column of ``docs`` named like a count is replaced.
     No shuffle: each text is rewritten where it is read. ``key`` is the secret
-    of the permutation. A day/month/year date that can't be read as
+    of the permutation and must not be empty. Longer addresses than the mail
+    format knows are no addresses. A day/month/year date that can't be read as
     month/day/year may meet the pseudonym of one that can; all other formats
     are mapped one to one."""
+    if not key:
+        raise ValueError("the pseudonyms need a key")
     secret = F.lit(key)
     text = F.col(text_col)
     plain = [c for c in docs.columns if not (counts and c in {f"n_{k}" for k in KINDS})]
