@@ -145,7 +145,8 @@ def _search(k: int):
         for batch in batches:
             for r in batch.to_pylist():
                 q_ids, c_ids = (np.frombuffer(r[f"{x}_ids"], np.int64) for x in "qc")
-                q, c = (np.frombuffer(r[f"{x}_block"], np.int64).reshape(-1, r[f"{x}_width"]) for x in "qc")
+                q, c = (np.frombuffer(r[f"{x}_block"], np.int64).reshape(len(n), r[f"{x}_width"])
+                        for x, n in (("q", q_ids), ("c", c_ids)))
                 bound = np.frombuffer(r["bound"], np.float64) if r.get("bound") else np.full(len(q), np.nan)
                 found = _search_block(q, q_ids, bound, c, c_ids, k)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query_id", "vec_id", "score"])
@@ -158,8 +159,8 @@ def _with_bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.select(["q_ids", "known"]).to_pylist():
             have = {x["query_id"]: x["score"] for x in r["known"] or []}
             bounds.append(np.array([have.get(i, np.nan) for i in np.frombuffer(r["q_ids"], np.int64)], np.float64).tobytes())
-        q_len = [np.sqrt((np.frombuffer(b, np.int64).reshape(-1, w).astype(np.float64) ** 2).sum(axis=1))
-                 for b, w in zip(batch.column("q_block").to_pylist(), batch.column("q_width").to_pylist(), strict=True)]
+        q_len = [np.sqrt((np.frombuffer(b, np.int64).reshape(len(n) // 8, w).astype(np.float64) ** 2).sum(axis=1))
+                 for b, n, w in zip(*(batch.column(c).to_pylist() for c in ("q_block", "q_ids", "q_width")), strict=True)]
         # the length below which no vector matters to any query of the block; 0 if some query has no bound
         need = []
         for b, n in zip(bounds, q_len, strict=True):
@@ -178,7 +179,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
 
     Both tables hold an id and an array<bigint>. Null ids, null vectors and
     vectors with null components take no part. Missing components of shorter
-    vectors count as 0. Repeated rows count once; products must fit a long.
+    vectors, even all of them, count as 0. Repeated rows count once; an id with
+    several vectors asks as one query, its products with all of them ranked
+    together. Products must fit a long.
     Other columns are not read; an empty table gives an empty result."""
     spark = vectors.sparkSession
 
