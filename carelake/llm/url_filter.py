@@ -55,6 +55,10 @@ def _count(x: Column, c: str) -> Column:
     return (F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))).cast("double")
 
 
+def _suffix() -> Column:
+    return F.substring_index("host", ".", -2)
+
+
 def lexical_features(df: DataFrame) -> DataFrame:
     """Adds the lexical features of url, host and path, and the host's suffix
     (its last two labels)."""
@@ -73,7 +77,7 @@ def lexical_features(df: DataFrame) -> DataFrame:
         _count(url, "-").alias("hyphens"), F.contains(url, F.lit("#")).cast("double").alias("fragment"),
         F.startswith(url, F.lit("https")).cast("double").alias("secure"),
         F.length(F.element_at(F.split("path", "/"), -1)).cast("double").alias("last_segment_length"),
-        F.substring_index("host", ".", -2).alias("suffix"))
+        _suffix().alias("suffix"))
 
 
 def _with_suffix_statistics(df: DataFrame, stats: DataFrame, prior: float) -> DataFrame:
@@ -93,25 +97,27 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     urls = urls.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     urls = urls.withColumn("m", match_rule(F.col("host"), F.col("path"), rules)).select(
         "page_id", "url", "host", "path", "m.*")
-    # A bounded sample of labelled URLs: distinct first, so copies don't fill it.
-    train = materialise(lexical_features(
-        urls.where("verdict IS NOT NULL").select("url", "host", "path", (F.col("verdict") == "block").cast("double").alias("label"))
-        .distinct().orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS)), "url-train")
-    n, prior, kinds = train.agg(F.count("*"), F.avg("label"), F.countDistinct("label")).first()
-    if kinds == 2:
-        stats = train.groupBy("suffix").agg(
-            ((F.sum("label") + prior * 4) / (F.count("*") + 4)).alias("suffix_block_rate"),
-            F.log1p(F.count("*").cast("double")).alias("suffix_seen"))
-        stats = materialise(stats, "url-suffixes")  # at most TRAIN_ROWS rows
+    # Distinct first, so copies neither count nor fill the sample.
+    labelled = (urls.where("verdict IS NOT NULL")
+                .select("url", "host", "path", (F.col("verdict") == "block").cast("double").alias("label")).distinct())
+    # Per suffix over all labelled URLs; the trees are fitted on a bounded sample of them.
+    seen = materialise(labelled.groupBy(_suffix().alias("suffix")).agg(
+        F.sum("label").alias("blocked"), F.count(F.lit(1)).cast("double").alias("n")), "url-suffixes")
+    blocked, n = seen.agg(F.sum("blocked"), F.sum("n")).first()
+    prior = blocked / n if n else 0.0
+    train = materialise(lexical_features(labelled.orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS)), "url-train")
+    if train.agg(F.countDistinct("label")).first()[0] == 2:
+        stats = seen.select("suffix", ((F.col("blocked") + prior * 4) / (F.col("n") + 4)).alias("suffix_block_rate"),
+                            F.log1p("n").alias("suffix_seen"))
         pack = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=11).fit(
             pack.transform(_with_suffix_statistics(train, stats, prior)).select("features", "label"))
-        rest = _with_suffix_statistics(lexical_features(urls.where("verdict IS NULL")), F.broadcast(stats), prior)
+        rest = _with_suffix_statistics(lexical_features(urls.where("verdict IS NULL")), stats, prior)
         judged = model.transform(pack.transform(rest)).select(
             "page_id", "host", "path", "rule", F.when(F.col("prediction") == 1, "block").otherwise("allow").alias("verdict"),
             _block_probability().alias("score"))
     else:
-        share = float(prior or 0.0)
+        share = float(prior)
         judged = urls.where("verdict IS NULL").select(
             "page_id", "host", "path", "rule", F.lit("block" if share >= 0.5 else "allow").alias("verdict"),
             F.lit(share).alias("score"))
@@ -123,13 +129,3 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 def _block_probability() -> Column:
     from pyspark.ml.functions import vector_to_array
     return F.get(vector_to_array("probability"), 1)
-
-
-RULE_SQL = """
-WITH split AS (
-  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') = 0 THEN NULL
-    ELSE substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
-part AS (
-  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM split)
-"""
