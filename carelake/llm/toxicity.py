@@ -152,14 +152,16 @@ def _feature_rows(words: dict[str, str], stems: tuple[str, ...]):
         score = Scorer(words, stems)
         for batch in batches:
             x = [score(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+            kept = batch.drop_columns(["text"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(x, pa.list_(pa.float64()))],
+                                             names=[*kept.schema.names, "x"])
     return run
 
 
-def _features(rows: DataFrame, words: dict[str, str], stems: tuple[str, ...]) -> DataFrame:
-    """(doc_id, x) of (doc_id, text)."""
-    return rows.select("doc_id", "text").mapInArrow(
-        _feature_rows(words, stems), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, x array<double>")
+def _features(rows: DataFrame, words: dict[str, str], stems: tuple[str, ...], carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, x and the columns ``carry``) of (doc_id, text and these)."""
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", *carry))
+    return rows.select("doc_id", "text", *carry).mapInArrow(_feature_rows(words, stems), f"{fields}, x array<double>")
 
 
 def seed_words() -> dict[str, str]:
@@ -250,24 +252,28 @@ def weighted_sample(usable: DataFrame, counted: DataFrame, most: int) -> DataFra
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "toxic", threshold: float = 0.3) -> DataFrame:
-    """(doc_id, held_out, score, predicted), one row per row of ``docs``.
+                    label_col: str = "toxic", threshold: float = 0.3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, held_out, score, predicted and the columns ``carry`` of ``docs``),
+    one row per row of ``docs``.
 
     ``held_out`` is a Column over doc_id; labels of such rows are never read.
     Labels other than 0 and 1 are ignored. Null and empty texts have the
     score of a text in which the grammar accepts nothing; null ids are kept,
     with held_out false. Without labels of both kinds the seed words and fixed
-    weights decide. Repeated rows are scored alike. Other columns are not read."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    weights decide. Repeated rows are scored alike; of a labelled id's texts the
+    smallest is learned from. Other columns are not read."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .where("label IN (0, 1)").where(~held_out).groupBy("doc_id").agg(F.max("label").alias("label")))
     # choose the sample among labels first: texts of few documents are needed
     usable = materialise(known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), "toxicity-usable")
     chosen = materialise(weighted_sample(usable, usable, TRAIN_PER_LABEL), "toxicity-chosen")
-    sample = materialise(rows.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]),
-                         "toxicity-sample")
+    sample = materialise(rows.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+                         .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"),
+                                                F.first("weight").alias("weight")), "toxicity-sample")
     words, stems, weights, intercept = learn(sample)
-    x = _features(rows, words, stems)
+    x = _features(rows, words, stems, carry)
     raw = sum((F.get("x", i) * w for i, w in enumerate(weights)), F.lit(intercept))
-    return (x.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), (1 / (1 + F.exp(-raw))).alias("score"))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+    score = 1 / (1 + F.exp(-raw))
+    return x.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score"),
+                    (score >= threshold).cast("int").alias("predicted"), *carry)

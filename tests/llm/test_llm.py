@@ -3,6 +3,7 @@ import collections
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -134,6 +135,19 @@ def test_url_rules_equal_brute_force(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_suffixes_are_counted_beyond_the_sample(spark, monkeypatch):
+    """Verdicts that rest on suffixes don't depend on the size of the fit's sample."""
+    rules = (("bad.com/", "block"), ("good.com/", "allow"), ("org/", "allow"))
+    urls = [f"http://{h}/{i}" for i in range(150) for h in ("bad.com", "x.good.com", f"s{i}.org", f"t{i}.bad.com")]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, "ftp://bad.com.evil.net/x"])], "page_id long, url string")
+    from carelake.llm.url_filter import _suffix, host_of
+    whole = {r.page_id: r.verdict for r in url_filter.filter_urls(df, rules=rules).collect()}
+    monkeypatch.setattr(url_filter, "TRAIN_ROWS", 60)
+    cut = {r.page_id: r.verdict for r in url_filter.filter_urls(df, rules=rules).collect()}
+    assert whole == cut and len(cut) == len(urls) + 1
+    assert df.select(host_of(F.col("url")).alias("host")).select(_suffix()).distinct().count() > 150
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     v = [(int(i), [int(x) for x in rng.integers(-40, 40, 6)]) for i in range(300)]
@@ -149,6 +163,15 @@ def test_top_k_equals_brute_force(spark):
     assert top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_vectors_without_components(spark):
+    df = spark.createDataFrame([(i, []) for i in range(0, 150, 25)] + [(151, [3, -1])], "vec_id long, v array<long>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df, df.where("vec_id % 50 = 0"), k=3).collect())
+    assert got == [(q, n + 1, i, 0) for q in (0, 50, 100) for n, i in enumerate(
+        sorted({0, 25, 50, 75, 100, 125, 151} - {q})[:3])]
+    bare = df.where("vec_id < 150")
+    assert top_k(bare, bare.where("vec_id = 0")).count() == 5
+
+
 def test_top_k_prunes_keep_concentrated_answers(spark, monkeypatch):
     from carelake.llm import topk
     q, c = np.array([[100, 10, 5, 3]]), np.array([[95, 10, 5, 3], [70, 60, 30, 20], [60, 50, 50, 40]])
@@ -246,6 +269,32 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert again == {i: r.text for i, r in out.items()} and pseudonymise(df.limit(0), "key").count() == 0
 
 
+def test_pseudonyms_of_long_runs(spark):
+    """Long hosts and runs neither overflow the stack nor take quadratic time."""
+    host = "a@b" + ".c" * 2000 + ".com"
+    run = "x1" * 500_000
+    texts = [host, "1234 " + run, "@" * 100_000 + "1234", "a@" * 50_000, "x" * 64 + "@mail.com", "x" * 65 + "@mail.com",
+             "a@" + "b" * 63 + ".com", "a@" + "b" * 64 + ".com", "+1 (988) 555-2485ab@mail.com", "1.2.3.4a@b.com"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = time.time()
+    out = [r.text for r in pseudonymise(df, "key").orderBy("doc_id").collect()]
+    assert time.time() - start < 60
+    same = [a == b for a, b in zip(texts, out, strict=True)]
+    assert same == [True, True, True, True, False, True, False, True, False, False]
+    assert "ab@mail.com" not in out[8] and "555-2485" not in out[8] and out[8].endswith("@mail.com")
+    with pytest.raises(ValueError):
+        pseudonymise(df, "")
+
+
+def test_numbers_come_back_by_the_inverse_network(spark):
+    from carelake.llm.pii import feistel
+    v = spark.range(487 * 75).select(F.col("id"), F.lit(75).alias("a"), F.lit(487).alias("b"))
+    there = v.withColumn("p", feistel(F.col("id"), F.col("a"), F.col("b"), F.lit("k"), F.lit("t")))
+    back = there.withColumn("q", feistel(F.col("p"), F.col("a"), F.col("b"), F.lit("k"), F.lit("t"), undo=True))
+    n = back.agg(F.count_distinct("p"), F.min("p"), F.max("p"), F.sum((F.col("q") != F.col("id")).cast("int"))).first()
+    assert tuple(n) == (487 * 75, 0, 487 * 75 - 1, 0)
+
+
 def test_decontamination_finds_substituted_passages(spark):
     rng = random.Random(4)
     items = [(i, text_of(rng, 30)) for i in range(5)] + [(9, None), (10, "two words")]
@@ -387,3 +436,37 @@ def test_pipeline_stages_keep_columns(spark):
         assert out.columns == docs.columns, name
         assert out.where("doc_id IS NULL").count() == 1 and out.count() <= docs.count()
     assert p.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+
+
+def test_pipeline_judges_rows(spark, tmp_path):
+    """Rows without an id are judged; of rows that share an id only the guilty go."""
+    import corpus_pipeline as p
+    rng = random.Random(12)
+    clean = [text_of(rng, 60) for _ in range(12)]
+    bench = text_of(rng, 30)
+    leak = text_of(rng, 20) + " " + bench + " " + text_of(rng, 20)
+    toxic = "You are a stupid idiot and I will kill you, you worthless scum. " * 3
+    rows = [(i, t) for i, t in enumerate(clean)]
+    rows += [(3, toxic), (None, toxic + " again"), (4, leak), (None, leak + " more"), (5, clean[6]), (None, clean[7]), (None, text_of(rng, 50)),
+             (20, ""), (20, ""), (None, None), (None, ""), (8, clean[8])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, bench)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+
+    def left(stage, df):
+        out = stage(spark, df, str(tmp_path))
+        assert out.columns == docs.columns
+        return collections.Counter((r.doc_id, r.text) for r in out.collect())
+    given = collections.Counter(rows)
+    calm = given - collections.Counter([(3, toxic), (None, toxic + " again")])
+    assert left(p.drop_toxic, docs) == calm
+    pure = given - collections.Counter([(4, leak), (None, leak + " more")])
+    assert left(p.drop_benchmark_leaks, docs) == pure
+    # of clean[6] row 5 stays, of clean[7] row 7, of clean[8] one; the leaks and the toxic texts are groups of their own
+    single = given - collections.Counter([(6, clean[6]), (None, clean[7]), (8, clean[8]), (None, leak + " more"), (None, toxic + " again")])
+    assert left(p.drop_near_duplicates, docs) == single
+    assert p.run(spark, str(tmp_path)).count() == sum((calm & pure & single).values())
+    empty = docs.limit(0)
+    assert all(stage(spark, empty, str(tmp_path)).count() == 0 for _, stage in p.STAGES)
