@@ -8,36 +8,55 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm.decontaminate import decontaminate
+from carelake.llm.decontaminate import contamination
 from carelake.llm.near_dup import near_duplicates
 from carelake.llm.pii import pseudonymise
 from carelake.llm.queries import PII_KEY, held_out, sentencepiece_model
 from carelake.llm.sentencepiece_codec import encoding_digest
 from carelake.llm.toxicity import toxicity_scores
+from carelake.operators.keys import dense_keys
 from carelake.session import ensure_checkpoint_dir
 
+#: Internal name of a row's own id.
+ROW = "__row"
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    """``docs`` with a column ROW that is unique and never null, ascending with
+    doc_id (null last), so stages judge rows, not ids. That is the doc_id itself
+    where the table has each once; else rows are numbered and written out."""
+    if not docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").limit(1).count():
+        return docs.withColumn(ROW, F.col("doc_id").cast("long"))
+    return dense_keys(docs, ["doc_id", *[c for c in docs.columns if c != "doc_id"]], ROW)
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose ROW is not in ``gone``, without that column."""
+    return rows.join(gone.select(ROW), ROW, "left_anti").drop(ROW)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score stays below 0.3. All rows of a doc_id go
-    if one of them is toxic; rows without an id are judged by nothing and stay."""
+    """Rows whose text scores below 0.3 for toxicity, those without an id included."""
+    rows = by_row(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    toxic = toxicity_scores(docs, labels, held_out(4, 2)).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(*docs.columns)
+    toxic = toxicity_scores(rows, labels, held_out(4, 2), carry=(ROW,)).where("predicted = 1")
+    return without(rows, toxic).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles,
-    similarity 0.8 or more): the one with the smallest id. Of rows that repeat
-    an id one stays; documents without an id or words all stay."""
-    gone = near_duplicates(docs, shingle_words=5).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    named = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(left.where("doc_id IS NULL"))
+    """One row of each group of near duplicates (five-word shingles, similarity 0.8
+    or more): the one with the smallest id, one without an id only where no row of
+    the group has one. Rows without words all stay."""
+    rows = by_row(docs)
+    gone = near_duplicates(rows, id_col=ROW, shingle_words=5).where("NOT kept").select(F.col("doc_id").alias(ROW))
+    return without(rows, gone).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Rows that hold no benchmark passage, with or without an id."""
+    rows = by_row(docs)
+    leaks = contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW)
+    return without(rows, leaks.select(F.col("doc_id").alias(ROW)).distinct()).select(*docs.columns)
 
 
 def pseudonymise_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
