@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.exprs import date_key
 from carelake.operators.keys import assign_stable_keys, dense_keys
+from carelake.session import materialise
 
 
 def date_dimension(spark: SparkSession, start: str, end: str, fiscal_start_month: int = 7) -> DataFrame:
@@ -174,20 +175,37 @@ def scd2_expire(dim: DataFrame, changed_keys: DataFrame, bk: str, as_of: str) ->
 def scd2_apply(dim: DataFrame, src: DataFrame, bk: str, sk: str, tracked: Sequence[str],
                as_of: str) -> DataFrame:
     """Next snapshot = expired/kept old rows + new versions with fresh
-    surrogate keys (max + position), all derived from one input snapshot."""
-    changed = scd2_changes(src, dim, bk, tracked)
-    new = scd2_new(src, dim, bk)
-    inserts = changed.unionByName(new)
-    expired = scd2_expire(dim, changed, bk, as_of)
-    hw = dim.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long").alias("_hw"))
-    numbered = dense_keys(inserts.crossJoin(F.broadcast(hw)), bk, sk,
-                          start_col=F.col("_hw") + 1).drop("_hw")
+    surrogate keys (max + position).
+
+    One full outer join of the dimension with the source classes every row: a
+    current version whose tracked attributes differ is expired and its source row
+    inserted, a source row without any version is inserted, all else is kept. The
+    classed rows are written once; only the inserts are numbered."""
+    attrs = [c for c in src.columns if c != bk]
+    old = dim.select(F.col(bk).alias("_bk"), F.struct(*dim.columns).alias("_old"))
+    new = src.select(F.col(bk).alias("_sbk"), F.struct(*src.columns).alias("_new"))
+    differs = F.lit(False)
+    for c in tracked:
+        differs = differs | ~F.col(f"_new.{c}").eqNullSafe(F.col(f"_old.{c}"))
+    changed = (F.col("_old.is_current") == 1) & F.col("_new").isNotNull() & differs
+    classed = (old.join(new, F.col("_bk") == F.col("_sbk"), "full_outer")
+               .withColumn("_class", F.when(F.col("_old").isNull(), "new").when(changed, "changed").otherwise("kept")))
+    classed = materialise(classed.select("_class", "_old", F.when(F.col("_class") != "kept", F.col("_new")).alias("_new")),
+                          "scd2-classed")
+    gone = F.col("_class") == "changed"
+    versions = classed.where("_class <> 'new'").select(
+        *[F.col(f"_old.{c}").alias(c) for c in dim.columns if c not in ("is_current", "effective_end_date")],
+        F.when(gone, F.lit(0)).otherwise(F.col("_old.is_current")).alias("is_current"),
+        F.when(gone, F.lit(as_of).cast("date")).otherwise(F.col("_old.effective_end_date")).alias("effective_end_date"))
+    hw = classed.agg(F.coalesce(F.max(f"_old.{sk}"), F.lit(0)).cast("long").alias("_hw"))
+    inserts = classed.where("_class <> 'kept'").select(*[F.col(f"_new.{c}").alias(c) for c in [bk, *attrs]])
+    numbered = dense_keys(inserts.crossJoin(F.broadcast(hw)), bk, sk, start_col=F.col("_hw") + 1).drop("_hw")  # one row
     numbered = numbered.withColumns({
         "is_current": F.lit(1),
         "effective_start_date": F.lit(as_of).cast("date"),
         "effective_end_date": F.lit(None).cast("date"),
     })
-    return expired.unionByName(numbered.select(*expired.columns))
+    return versions.select(*dim.columns).unionByName(numbered.select(*dim.columns))
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
@@ -222,9 +240,10 @@ def upsert(target: DataFrame, src: DataFrame, key: str, sk: str | None = None) -
     )
     if not sk:
         return merged
+    merged = materialise(merged, "upsert-merged")  # the join runs once for both halves
     have = merged.where(F.col(sk).isNotNull())
     fresh = merged.where(F.col(sk).isNull()).drop(sk)
-    hw = target.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long").alias("_hw"))
+    hw = merged.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long").alias("_hw"))
     numbered = dense_keys(fresh.crossJoin(F.broadcast(hw)), key, sk, start_col=F.col("_hw") + 1).drop("_hw")
     return have.unionByName(numbered.select(*have.columns))
 

@@ -73,7 +73,7 @@ def dense_keys(df: DataFrame, bk, key_col: str, start: int | None = 1,
     ranged = materialise(ranged, "dense-keys")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = materialise(counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off")), "dense-offsets")
     base = F.lit(start if start is not None else 1) if start_col is None else start_col
     # offsets has one row per partition: bounded by the partition count.
     out = ranged.join(F.broadcast(offsets), "_pid")

@@ -57,32 +57,3 @@ def latest_by(df: DataFrame, key: str | list[str], order: list[str], cols: list[
     packed = F.max(F.struct(*[F.col(c) for c in order + [c for c in cols if c not in order]])).alias("_l")
     out = df.groupBy(*keys).agg(packed)
     return out.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in cols])
-
-
-def prefix_max_by_key(df: DataFrame, key: str, order: list[str], value: Column, out: str,
-                      num_partitions: int | None = None) -> DataFrame:
-    """``out`` = max(value) over the earlier rows of the same key in
-    ``order`` (an exclusive running max), without a per-key window.
-
-    Two-level scan: rows are range-partitioned on (key, order) and
-    materialised once; a running max is taken inside each (partition, key)
-    piece, and the carry from the key's earlier pieces (one row per piece,
-    at most one piece per partition) is joined back on (partition, key).
-    A key holding a third of all rows spans many partitions and never sorts
-    in one task.
-    """
-    from carelake.session import materialise
-    spark = df.sparkSession
-    cols = [F.col(key).asc(), *[F.col(c).asc() for c in order]]
-    d = df.withColumn("_val", value)
-    parted = d.repartitionByRange(num_partitions, *cols) if num_partitions else d.repartitionByRange(*cols)
-    ranged = (parted.sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = materialise(ranged, "prefix-max")
-    w = Window.partitionBy("_pid", key).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.max("_val").over(w))
-    pieces = ranged.groupBy("_pid", key).agg(F.max("_val").alias("_piece"))
-    wp = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = pieces.select("_pid", key, F.max("_piece").over(wp).alias("_carry"))
-    j = local.join(carry, ["_pid", key], "left")
-    return j.withColumn(out, F.greatest("_local", "_carry")).drop("_val", "_pid", "_pos", "_local", "_carry")

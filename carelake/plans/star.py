@@ -50,6 +50,16 @@ class Star:
             _CACHE[key] = df
         return df
 
+    def _numbered(self, name: str, build) -> DataFrame:
+        """Cache a frame that ends in ``dense_keys``: its rows are written there
+        already, so they are not written again."""
+        if not self.materialise:
+            return build()
+        key = (self.spark.sparkContext.applicationId, self.spark.sparkContext.startTime, self.sf_dir, self.as_of, name)
+        if key not in _CACHE:
+            _CACHE[key] = build()
+        return _CACHE[key]
+
     # -- silver ----------------------------------------------------------------
     def silver_patients(self) -> DataFrame:
         df = B.raw_patients(self.t)
@@ -156,8 +166,7 @@ class Star:
     def fact_encounter(self) -> DataFrame:
         def build():
             e = self.silver_encounters()
-            e = E.readmission_flag(e)
-            e = E.any_acute_readmission_flag(e)
+            e = E.readmission_flags(e)
             risk = E.readmission_risk(F.col("length_of_stay"), F.col("encounter_type"), F.col("readmission_risk"))
             e = e.withColumn("readmission_risk_score", risk)
             e = E.resolve_fk(e, self.dim_patient(), "patient_id", "patient_key")
@@ -182,7 +191,7 @@ class Star:
                 risk_tier("readmission_risk_score", vocab.ENCOUNTER_RISK_CUTS).alias("readmission_risk_category"),
             )
             return dense_keys(f, "encounter_id", "encounter_key")
-        return self._snap("fact_encounter", build)
+        return self._numbered("fact_encounter", build)
 
     def fact_claim(self) -> DataFrame:
         def build():
@@ -249,4 +258,4 @@ class Star:
                 F.coalesce(F.col("is_chronic"), F.lit(0)).alias("is_chronic"),
             )
             return dense_keys(f, "diagnosis_id", "diagnosis_fact_key")
-        return self._snap("fact_diagnosis", build)
+        return self._numbered("fact_diagnosis", build)

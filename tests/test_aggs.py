@@ -50,12 +50,12 @@ def test_chunked_rolling_equals_plain_window(spark):
 
 
 def test_prefix_max_two_level_scan_equals_window(spark):
-    from carelake.operators.windows import prefix_max_by_key
+    from carelake.operators.scan import greatest, scan_by_key
     rnd = random.Random(11)
     rows = [(i, "HOT" if i % 4 else f"K{i % 7}", rnd.randint(0, 50), rnd.choice([None, float(rnd.randint(0, 999))]))
             for i in range(600)]
     df = spark.createDataFrame(rows, "id int, k string, d int, v double")
-    got = prefix_max_by_key(df, "k", ["d", "id"], F.col("v"), "pm", num_partitions=6)
+    got = scan_by_key(df, ["k"], ["d", "id"], {"pm": greatest(F.col("v"))}, num_partitions=6)
     w = Window.partitionBy("k").orderBy("d", "id").rowsBetween(Window.unboundedPreceding, -1)
     ref = df.withColumn("pm", F.max("v").over(w))
     assert sorted(map(tuple, got.select("id", "pm").collect())) == sorted(map(tuple, ref.select("id", "pm").collect()))
