@@ -499,7 +499,7 @@ FROM (SELECT CAST(unnest(generate_series(make_date(y1, 1, 1), make_date(y2 + 1,
 
 _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 CTES["landing_events"] = f"""
-SELECT event_id, ts AS event_timestamp,
+SELECT event_id, ts + to_days(CAST(datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) * 23 AS INTEGER)) AS event_timestamp,
   CASE event_type WHEN 'purchase' THEN 'claims_events' WHEN 'click' THEN 'claims_events'
        WHEN 'view' THEN 'adt_events' WHEN 'signup' THEN 'adt_events' WHEN 'error' THEN 'rx_events'
        ELSE 'unknown_events' END AS _table,

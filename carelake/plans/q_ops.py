@@ -11,10 +11,9 @@ from carelake.plans.oracle import rnd, sql
 from carelake.plans.q_scoring import FRAUD_SQL, GAP_SQL, TRAJ_SQL, feeds, fraud, gap_alerts, traj
 from carelake.plans.registry import query
 from carelake.plans.star import Star
-from carelake.session import materialise
 from carelake.sources import bindings as B
 
-AS_OF_TS = "2024-01-31 00:00:00"
+AS_OF_TS = "2025-11-28 00:00:00"
 ALL = {**FRAUD_SQL, **GAP_SQL, **TRAJ_SQL}
 PRIORITY_RANK = {"CRITICAL": 1, "HIGH": 2, "MEDIUM": 3, "LOW": 4}
 # FIXED VALUES: alert type -> (action, destination) for CRITICAL items.
@@ -34,31 +33,37 @@ def _rank(col) -> F.Column:
 RANK_SQL = "CASE {c} WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END"
 ALL["alert_union"] = """
 SELECT patient_id, 'fraud' AS alert_type, risk_tier AS priority, claim_id AS alert_id,
-  'Fraud score: ' || CAST(fraud_score AS VARCHAR) || ' | Flags: ' || fraud_flags AS detail
+  'Fraud score: ' || CAST(fraud_score AS VARCHAR) || ' | Flags: ' || fraud_flags AS detail,
+  event_timestamp AS alert_time, latitude, longitude
 FROM fraud_tiered
 UNION ALL SELECT patient_id, 'care_gap', alert_priority, CAST(event_id AS VARCHAR) || ':' || measure_id,
-  'Gap: ' || measure_name || ' | Overdue: ' || CAST(gap_days_overdue AS VARCHAR) || 'd'
+  'Gap: ' || measure_name || ' | Overdue: ' || CAST(gap_days_overdue AS VARCHAR) || 'd', event_timestamp, latitude, longitude
 FROM gap_alerts
 UNION ALL SELECT patient_id, 'high_cost', risk_tier, patient_id,
   '30d spend: $' || CAST(CAST(r30 AS DECIMAL(28,2)) AS VARCHAR) || ' | ED visits: ' || CAST(ed_visits_30d AS VARCHAR)
-    || ' | Trend: ' || cost_trend
+    || ' | Trend: ' || cost_trend, event_timestamp, latitude, longitude
 FROM trajectory"""
 ALL["raised_alerts"] = "SELECT * FROM alert_union WHERE priority <> 'LOW'"
+ALL["recent_alerts"] = f"""SELECT * FROM alert_union
+WHERE alert_time > TIMESTAMP '{AS_OF_TS}' - INTERVAL 24 HOUR AND alert_time <= TIMESTAMP '{AS_OF_TS}'"""
 ALL["worklist"] = f"""
 SELECT patient_id, list_sort(list_distinct(list(alert_type))) AS alert_types,
   min({RANK_SQL.format(c='priority')}) AS top_priority_rank, count(*) AS alerts,
   count(*) FILTER (WHERE alert_type = 'fraud') AS fraud_alerts,
   count(*) FILTER (WHERE alert_type = 'care_gap') AS care_gap_alerts,
-  count(*) FILTER (WHERE alert_type = 'high_cost') AS high_cost_alerts
-FROM alert_union GROUP BY 1 ORDER BY top_priority_rank, alerts DESC, patient_id LIMIT 100"""
+  count(*) FILTER (WHERE alert_type = 'high_cost') AS high_cost_alerts, max(alert_time) AS last_alert_time,
+  {rnd('arg_max(latitude, alert_time::VARCHAR || alert_type || alert_id)')} AS latitude,
+  {rnd('arg_max(longitude, alert_time::VARCHAR || alert_type || alert_id)')} AS longitude
+FROM recent_alerts GROUP BY 1 ORDER BY top_priority_rank, alerts DESC, patient_id LIMIT 100"""
 
 
 def alert_union(s: Star):
     """All three alert tables in one shape, every tier: patient, type,
-    priority, id, detail."""
+    priority, id, detail, time and position."""
     def shape(df, kind, tier, alert_id, *detail):
         return df.select("patient_id", F.lit(kind).alias("alert_type"), F.col(tier).alias("priority"),
-                         alert_id.alias("alert_id"), F.concat(*detail).alias("detail"))
+                         alert_id.alias("alert_id"), F.concat(*detail).alias("detail"),
+                         F.col("event_timestamp").alias("alert_time"), "latitude", "longitude")
 
     text = lambda c: F.col(c).cast("string")
     f = shape(fraud(s), "fraud", "risk_tier", F.col("claim_id"),
@@ -71,15 +76,24 @@ def alert_union(s: Star):
     return f.unionByName(g).unionByName(h)
 
 
+def recent(u, as_of: str = AS_OF_TS, hours: int = 24):
+    """Alerts of the ``hours`` up to ``as_of``."""
+    end = F.lit(as_of).cast("timestamp_ntz")
+    return u.where((F.col("alert_time") > end - F.expr(f"INTERVAL {hours} HOURS")) & (F.col("alert_time") <= end))
+
+
 def worklist(u, size: int = 100):
-    """Per patient the set of alert types (at most three), best priority
-    and counts; the ``size`` patients with the best priority."""
+    """Per patient the set of alert types (at most three), best priority,
+    counts, and time and position of the last alert; the ``size`` patients with the
+    best priority."""
+    newest = F.struct("alert_time", "alert_type", "alert_id")
     t = F.col("alert_type")
     g = u.groupBy("patient_id").agg(
         F.array_sort(F.collect_set("alert_type")).alias("alert_types"),
         F.min(_rank(F.col("priority"))).alias("top_priority_rank"), F.count(F.lit(1)).alias("alerts"),
         F.count_if(t == "fraud").alias("fraud_alerts"), F.count_if(t == "care_gap").alias("care_gap_alerts"),
-        F.count_if(t == "high_cost").alias("high_cost_alerts"))
+        F.count_if(t == "high_cost").alias("high_cost_alerts"), F.max("alert_time").alias("last_alert_time"),
+        M.rnd(F.max_by("latitude", newest)).alias("latitude"), M.rnd(F.max_by("longitude", newest)).alias("longitude"))
     return g.orderBy("top_priority_rank", F.col("alerts").desc(), "patient_id").limit(size)
 
 
@@ -127,30 +141,31 @@ def l06(spark, d, as_of: str = AS_OF_TS):
 
 @query("l13_unified_worklist", sql("SELECT * FROM worklist", ALL))
 def l13(spark, d):
-    """Unified worklist over alerts of every tier; the top 100 patients."""
-    return worklist(alert_union(Star(spark, d)))
+    """Unified worklist over the last 24 hours' alerts of every tier; the top
+    100 patients."""
+    return worklist(recent(alert_union(Star(spark, d))))
 
 
 @query("l13b_worklist_alerts", sql("""
-SELECT u.patient_id, w.top_priority_rank, u.alert_type, u.alert_id, u.detail, u.priority AS tier
-FROM alert_union u JOIN worklist w ON u.patient_id = w.patient_id""", ALL))
+SELECT u.patient_id, w.top_priority_rank, u.alert_type, u.alert_id, u.detail, u.priority AS tier, u.alert_time
+FROM recent_alerts u JOIN worklist w ON u.patient_id = w.patient_id""", ALL))
 def l13b(spark, d):
     """The alerts behind the worklist, one row each rather than a list
     per patient, so a patient with a third of all alerts stays spread out."""
-    u = materialise(alert_union(Star(spark, d)), "alert-union")
+    u = recent(alert_union(Star(spark, d)))
     top = F.broadcast(worklist(u).select("patient_id", "top_priority_rank"))  # at most 100 rows
     return u.join(top, "patient_id").select("patient_id", "top_priority_rank", "alert_type", "alert_id", "detail",
-                                            F.col("priority").alias("tier"))
+                                            F.col("priority").alias("tier"), "alert_time")
 
 
-def _routes_sql() -> str:
+def routes_sql() -> str:
     return ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in ROUTES)
 
 
 @query("l14_action_routing", sql(f"""
 SELECT DISTINCT u.patient_id, u.alert_type, coalesce(r.action, '{OTHER_ROUTE[0]}') AS action,
   coalesce(r.destination, '{OTHER_ROUTE[1]}') AS destination
-FROM alert_union u LEFT JOIN (SELECT * FROM (VALUES {_routes_sql()}) t(alert_type, action, destination)) r
+FROM alert_union u LEFT JOIN (SELECT * FROM (VALUES {routes_sql()}) t(alert_type, action, destination)) r
   ON u.alert_type = r.alert_type
 WHERE u.priority = 'CRITICAL'""", ALL))
 def l14(spark, d):
@@ -245,15 +260,14 @@ def l22(spark, d):
 SELECT date_trunc('hour', e.event_timestamp) AS hour, 'fraud' AS alert_type, count(*) AS alerts
 FROM fraud_tiered f JOIN claims_events e ON f.claim_id = e.claim_id WHERE f.risk_tier <> 'LOW' GROUP BY 1
 UNION ALL
-SELECT date_trunc('hour', event_timestamp), 'care_gap', count(*) FROM gap_alerts GROUP BY 1""", ALL))
+SELECT date_trunc('hour', event_timestamp), 'care_gap', count(*) FROM gap_alerts GROUP BY 1
+UNION ALL
+SELECT date_trunc('hour', event_timestamp), 'high_cost', count(*) FROM trajectory GROUP BY 1""", ALL))
 def l23(spark, d):
-    """Alerts per hour for the timestamped alert tables."""
-    s = Star(spark, d)
-    hour = F.date_trunc("hour", "event_timestamp").cast("timestamp_ntz").alias("hour")
-    a = (fraud(s).where(F.col("risk_tier") != "LOW").groupBy(hour).agg(F.count(F.lit(1)).alias("alerts"))
-         .withColumn("alert_type", F.lit("fraud")))
-    b = gap_alerts(s).groupBy(hour).agg(F.count(F.lit(1)).alias("alerts")).withColumn("alert_type", F.lit("care_gap"))
-    return a.unionByName(b).select("hour", "alert_type", "alerts")
+    """Alerts per hour of the three alert tables (fraud above tier LOW)."""
+    u = alert_union(Star(spark, d)).where((F.col("alert_type") != "fraud") | (F.col("priority") != "LOW"))
+    return u.groupBy(F.date_trunc("hour", "alert_time").cast("timestamp_ntz").alias("hour"), "alert_type").agg(
+        F.count(F.lit(1)).alias("alerts"))
 
 
 @query("l24_counts_by_category", sql("""
@@ -284,12 +298,28 @@ def l25(spark, d):
         F.count(F.lit(1)).alias("alerts"), F.array_sort(F.collect_set("measure_id")).alias("measures"))
 
 
+@query("l25b_high_cost_map", sql(f"""
+SELECT {rnd('t.latitude')} AS latitude, {rnd('t.longitude')} AS longitude, f.facility_name, count(*) AS patients,
+  {rnd('avg(CAST(t.r30 AS DOUBLE))', 2)} AS avg_spend, min(t.risk_tier) AS risk_tier
+FROM trajectory t JOIN dim_facility f ON t.facility_id = f.facility_id
+WHERE t.latitude IS NOT NULL AND t.longitude IS NOT NULL GROUP BY 1, 2, 3""", ALL))
+def l25b(spark, d):
+    """High-cost patient map: members, average 30-day spend and a tier (the
+    first by name) per place and last facility."""
+    s = Star(spark, d)
+    fac = s.dim_facility().select("facility_id", "facility_name")
+    t = traj(s).where("latitude IS NOT NULL AND longitude IS NOT NULL").join(fac, "facility_id")
+    return t.groupBy(M.rnd(F.col("latitude")).alias("latitude"), M.rnd(F.col("longitude")).alias("longitude"), "facility_name").agg(
+        F.count(F.lit(1)).alias("patients"), M.rnd(F.avg(F.col("rolling_spend_30d").cast("double")), 2).alias("avg_spend"),
+        F.min("risk_tier").alias("risk_tier"))
+
+
 @query("l26_dashboard_filtered", sql("""
 SELECT f.claim_id, f.fraud_score, f.risk_tier, e.facility_id
 FROM fraud_tiered f JOIN claims_events e ON f.claim_id = e.claim_id
-WHERE e.event_timestamp BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-14 23:59:59'
+WHERE e.event_timestamp BETWEEN TIMESTAMP '2024-02-01 00:00:00' AND TIMESTAMP '2024-09-30 23:59:59'
   AND lower(f.risk_tier) IN ('high', 'medium') AND e.facility_id IN ('FAC001', 'FAC002', 'FAC003')""", ALL))
-def l26(spark, d, start="2024-01-08 00:00:00", end="2024-01-14 23:59:59",
+def l26(spark, d, start="2024-02-01 00:00:00", end="2024-09-30 23:59:59",
         tiers=("HIGH", "MEDIUM"), facilities=("FAC001", "FAC002", "FAC003")):
     """Dashboard parameters: time range, tier and facility filters
     (empty selection keeps everything)."""

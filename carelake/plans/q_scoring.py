@@ -2,8 +2,8 @@
 
 Threshold parameters: velocity counts are per provider-hour (the driver
 feed peaks at 3-4 events per hour, so the registered query fires above 1
-instead of the reference's 5); spend thresholds are on the feed's dollar
-scale (claim amount = value x 1000), i.e. 100x the reference defaults.
+instead of 5); spend thresholds are on the feed's dollar scale (claim amount =
+value x 1000), FEED_DOLLARS times the defaults.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from carelake.plans.star import Star
 from carelake.sources import bindings as B
 
 VELOCITY_MIN = 1
-SPEND_30D, SPEND_90D, ED_MIN = 1_500_000, 4_000_000, 3
+FEED_DOLLARS = 5
+SPEND_30D, SPEND_90D, ED_MIN = K.SPEND_30D * FEED_DOLLARS, K.SPEND_90D * FEED_DOLLARS, K.ED_VISITS_30D
 
 
 def feeds(s: Star):
@@ -28,9 +29,12 @@ def feeds(s: Star):
 
 
 def fraud(s: Star):
-    ev, _ = feeds(s)
-    return K.fraud_scores(ev, s.dim_provider(), s.dim_facility(), K.provider_history(s.fact_claim()),
-                          velocity_min=VELOCITY_MIN)
+    """The scored claim events, written once a session."""
+    def build():
+        ev, _ = feeds(s)
+        return K.fraud_scores(ev, s.dim_provider(), s.dim_facility(), K.provider_history(s.fact_claim()),
+                              velocity_min=VELOCITY_MIN)
+    return s.snapshot("fraud_scores", build)
 
 
 FRAUD_SQL = {"fraud_scored": f"""
@@ -166,8 +170,8 @@ FROM (
   WHERE p.is_current = 1 AND (len(m.target_icd) = 0 OR q.patient_id IS NOT NULL))""",
 }
 GAP_SQL["gap_alerts"] = """
-SELECT event_id, event_timestamp, patient_id, facility_id, facility_name, measure_id, measure_name, gap_days_overdue,
-  CASE WHEN measure_id IN ('CDC', 'BCS', 'COL') AND gap_days_overdue > 180 THEN 'CRITICAL'
+SELECT event_id, event_timestamp, patient_id, facility_id, facility_name, latitude, longitude, measure_id, measure_name,
+  gap_days_overdue, CASE WHEN measure_id IN ('CDC', 'BCS', 'COL') AND gap_days_overdue > 180 THEN 'CRITICAL'
        WHEN gap_days_overdue > 365 THEN 'CRITICAL'
        WHEN measure_id IN ('CDC', 'BCS', 'COL') OR gap_days_overdue > 90 THEN 'HIGH'
        WHEN gap_days_overdue > 30 THEN 'MEDIUM' ELSE 'LOW' END AS alert_priority,
@@ -175,7 +179,7 @@ SELECT event_id, event_timestamp, patient_id, facility_id, facility_name, measur
     || measure_id || ' gap (' || coalesce(measure_name, measure_id) || '), overdue by '
     || CAST(gap_days_overdue AS VARCHAR) || ' days. Consider ordering during this visit.' AS alert_text
 FROM (
-  SELECT a.event_id, a.event_timestamp, a.patient_id, a.facility_id, f.facility_name, g.measure_id,
+  SELECT a.event_id, a.event_timestamp, a.patient_id, a.facility_id, f.facility_name, a.latitude, a.longitude, g.measure_id,
     coalesce(g.measure_name, g.measure_id) AS measure_name, coalesce(g.gap_days_overdue, 0) AS gap_days_overdue,
     p.first_name, p.last_name
   FROM adt_events a JOIN hedis_gaps g ON a.patient_id = g.patient_id AND g.is_gap_open
@@ -185,9 +189,12 @@ FROM (
 
 
 def gap_alerts(s: Star):
-    _, adt = feeds(s)
-    pats = s.dim_patient().where("is_current = 1").select("patient_id", "first_name", "last_name")
-    return K.care_gap_alerts(adt, _gaps(s), pats, s.dim_facility())
+    """The care-gap alerts, written once a session."""
+    def build():
+        _, adt = feeds(s)
+        pats = s.dim_patient().where("is_current = 1").select("patient_id", "first_name", "last_name")
+        return K.care_gap_alerts(adt, _gaps(s), pats, s.dim_facility())
+    return s.snapshot("care_gap_alerts", build)
 
 
 @query("k11_hedis_gaps", sql("""
@@ -219,13 +226,16 @@ def k10(spark, d):
 
 
 def traj(s: Star):
-    ev, adt = feeds(s)
-    return K.trajectory(ev, adt, SPEND_30D, SPEND_90D, ED_MIN)
+    """The members' trajectories, written once a session."""
+    def build():
+        ev, adt = feeds(s)
+        return K.trajectory(ev, adt, SPEND_30D, SPEND_90D, ED_MIN)
+    return s.snapshot("trajectory", build)
 
 
 TRAJ_SQL = {
     "spend_latest": """
-SELECT patient_id, rolling_spend_30d, rolling_spend_90d, claims_count_30d FROM (
+SELECT patient_id, rolling_spend_30d, rolling_spend_90d, claims_count_30d, event_timestamp, latitude, longitude FROM (
   SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY event_timestamp DESC, event_id DESC) AS rn FROM (
     SELECT *, sum(claim_amount) OVER w30 AS rolling_spend_30d, count(*) OVER w30 AS claims_count_30d,
       sum(claim_amount) OVER w90 AS rolling_spend_90d
@@ -260,7 +270,7 @@ FROM (
                  WHEN CAST(r30 AS DOUBLE) > CAST(r90 AS DOUBLE) / 3 * 1.1 THEN 'RISING'
                  WHEN CAST(r30 AS DOUBLE) < CAST(r90 AS DOUBLE) / 3 * 0.8 THEN 'DECLINING' ELSE 'STABLE' END AS cost_trend
   FROM (
-    SELECT s.patient_id, coalesce(s.rolling_spend_30d, 0) AS r30, coalesce(s.rolling_spend_90d, 0) AS r90,
+    SELECT s.patient_id, s.event_timestamp, s.latitude, s.longitude, coalesce(s.rolling_spend_30d, 0) AS r30, coalesce(s.rolling_spend_90d, 0) AS r90,
       s.claims_count_30d, coalesce(e.ed_visits_30d, 0) AS ed_visits_30d,
       coalesce(r.readmission_count_30d, 0) AS readmission_count_30d, f.facility_id
     FROM spend_latest s LEFT JOIN ed_latest e ON s.patient_id = e.patient_id
@@ -292,6 +302,30 @@ def k19(spark, d):
         M.rnd(F.avg(F.col("rolling_spend_30d").cast("double")), 2).alias("avg_spend_30d"))
 
 
+@query("k19c_trajectory_by_tier", sql(f"""
+SELECT risk_tier, count(*) AS patients, {rnd('avg(CAST(r30 AS DOUBLE))', 0)} AS avg_spend_30d,
+  {rnd('avg(CAST(r90 AS DOUBLE))', 0)} AS avg_spend_90d, {rnd('avg(CAST(ed_visits_30d AS DOUBLE))', 1)} AS avg_ed_visits,
+  count(*) FILTER (WHERE readmission_count_30d > 0) AS readmissions
+FROM trajectory GROUP BY 1""", TRAJ_SQL))
+def k19c(spark, d):
+    """Per tier members, average spends and ED visits, readmitted members."""
+    return traj(Star(spark, d)).groupBy("risk_tier").agg(
+        F.count(F.lit(1)).alias("patients"), M.rnd(F.avg(F.col("rolling_spend_30d").cast("double")), 0).alias("avg_spend_30d"),
+        M.rnd(F.avg(F.col("rolling_spend_90d").cast("double")), 0).alias("avg_spend_90d"),
+        M.rnd(F.avg(F.col("ed_visits_30d").cast("double")), 1).alias("avg_ed_visits"),
+        F.count_if("readmission_flag").alias("readmissions"))
+
+
+@query("k19d_trajectory_by_trend", sql(f"""
+SELECT cost_trend, count(*) AS members, {rnd('avg(CAST(r30 AS DOUBLE))', 0)} AS avg_spend_30d,
+  {rnd('avg(CAST(ed_visits_30d AS DOUBLE))', 1)} AS avg_ed_visits FROM trajectory GROUP BY 1""", TRAJ_SQL))
+def k19d(spark, d):
+    """Per cost trend members, average spend and ED visits."""
+    return traj(Star(spark, d)).groupBy("cost_trend").agg(
+        F.count(F.lit(1)).alias("members"), M.rnd(F.avg(F.col("rolling_spend_30d").cast("double")), 0).alias("avg_spend_30d"),
+        M.rnd(F.avg(F.col("ed_visits_30d").cast("double")), 1).alias("avg_ed_visits"))
+
+
 @query("k19b_top_spenders", sql("""
 SELECT patient_id, CAST(r30 AS DOUBLE) AS rolling_spend_30d, risk_tier FROM trajectory
 WHERE risk_tier IN ('CRITICAL', 'HIGH') ORDER BY r30 DESC, patient_id LIMIT 15""", TRAJ_SQL))

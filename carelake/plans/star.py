@@ -37,6 +37,10 @@ class Star:
         self.materialise = materialise
 
     # -- caching ---------------------------------------------------------------
+    def snapshot(self, name: str, build) -> DataFrame:
+        """A table derived from the gold layer, kept like one."""
+        return self._snap(name, build)
+
     def _snap(self, name: str, build) -> DataFrame:
         if not self.materialise:
             return build()

@@ -300,6 +300,16 @@ EVENT_ROUTES = {"purchase": "claims_events", "click": "claims_events",
                 "view": "adt_events", "signup": "adt_events", "error": "rx_events"}
 
 
+#: The driver's events cover a month; their days are put so many days apart, the
+#: time of day kept, so 30- and 90-day frames see growing and falling spend.
+DAYS_APART, FEED_START = 24, "2024-01-01"
+
+
+def spread_days(ts: str) -> Column:
+    day = F.datediff(F.col(ts), F.lit(FEED_START).cast("date"))
+    return (F.col(ts) + F.make_dt_interval(day * (DAYS_APART - 1))).cast("timestamp_ntz")
+
+
 def landing_events(t: Tables) -> DataFrame:
     """The landing feed: one row per event, discriminator ``_table`` plus the
     union of all typed fields (nulls where a field does not apply).
@@ -315,7 +325,7 @@ def landing_events(t: Tables) -> DataFrame:
     lat = F.lit(40.0) + (k % 20) * 0.1
     lon = F.lit(-75.0) - (k % 20) * 0.1
     return e.select(
-        "event_id", F.col("ts").alias("event_timestamp"), route.alias("_table"),
+        "event_id", spread_days("ts").alias("event_timestamp"), route.alias("_table"),
         patient_id("user_id").alias("patient_id"), provider_id("user_id").alias("provider_id"),
         _id("FAC", F.col("user_id") % 25, 3).alias("facility_id"),
         (F.col("value").cast("decimal(18,2)") * 1000).cast("decimal(18,2)").alias("claim_amount"),
