@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.functions.cleaning import ensure_columns
 from carelake.functions.exprs import date_key
 from carelake.operators.keys import assign_stable_keys, dense_keys
 from carelake.session import materialise
@@ -103,6 +104,19 @@ SVI_WEIGHTS = {"poverty_rate": 0.25, "uninsured_rate": 0.20, "food_insecurity_ra
                "unemployment_rate": 0.15, "no_vehicle_pct": 0.10}
 
 
+# FIXED VALUES: weights of the survey layout's index (transport and broadband count inverted).
+SURVEY_WEIGHTS = {"poverty_rate": 0.25, "food_desert_flag": 0.15, "_no_transport": 0.20, "housing_instability_rate": 0.15,
+                  "uninsured_rate": 0.15, "_no_broadband": 0.10}
+
+
+def survey_index(df: DataFrame) -> DataFrame:
+    """D14 for the survey layout: index and tier (.30 / .15, inclusive)."""
+    d = df.withColumns({"_no_transport": 1 - F.col("transportation_score"), "_no_broadband": 1 - F.col("broadband_access_pct")})
+    d = d.withColumn("social_vulnerability_index", weighted_index(SURVEY_WEIGHTS))
+    return d.withColumn("risk_tier", svi_tier(F.col("social_vulnerability_index"), 0.30, 0.15, inclusive=True)).drop(
+        "_no_transport", "_no_broadband")
+
+
 def svi_tier(col: Column, high: float = 0.25, medium: float = 0.15, inclusive: bool = False) -> Column:
     """D14 tier: generator cuts are strict (> .25 / > .15), the fallback
     layout uses >= .30 / >= .15."""
@@ -111,19 +125,27 @@ def svi_tier(col: Column, high: float = 0.25, medium: float = 0.15, inclusive: b
     return F.when(col > high, "High").when(col > medium, "Medium").otherwise("Low")
 
 
+#: Gold SDOH schema: column, type.
+SDOH_SCHEMA = {
+    "zip_code": "string", "state": "string", "poverty_rate": "double", "food_desert_flag": "int", "transportation_score": "double",
+    "housing_instability_rate": "double", "uninsured_rate": "double", "broadband_access_pct": "double",
+    "unemployment_rate": "double", "median_household_income": "int", "population": "int",
+    "social_vulnerability_index": "double", "risk_tier": "string"}
+HOME_STATE = "MI"  # FIXED VALUE
+
+
 def harmonise_sdoh(df: DataFrame) -> DataFrame:
-    """Generated layout -> gold SDOH schema."""
-    return df.select(
-        F.col("zip_code").cast("string"),
-        F.col("poverty_rate").cast("double"),
-        F.when(F.col("food_insecurity_rate") > 0.15, 1).otherwise(0).cast("int").alias("food_desert_flag"),
-        (F.lit(1.0) - F.coalesce(F.col("no_vehicle_pct").cast("double"), F.lit(0.0))).alias("transportation_score"),
-        F.col("uninsured_rate").cast("double"),
-        F.col("unemployment_rate").cast("double"),
-        F.col("median_household_income").cast("int"),
-        F.col("social_vulnerability_index").cast("double"),
-        F.col("risk_tier"),
-    )
+    """Either source layout -> gold SDOH schema. The survey layout has the gold
+    columns; the generated one has rates that the food-desert flag and the transport
+    score are derived from. Columns a layout lacks are null, a missing state is the
+    home state."""
+    if "food_desert_flag" not in df.columns:
+        df = df.withColumns({
+            "food_desert_flag": F.when(F.col("food_insecurity_rate") > 0.15, 1).otherwise(0),
+            "transportation_score": F.lit(1.0) - F.coalesce(F.col("no_vehicle_pct").cast("double"), F.lit(0.0))})
+    df = ensure_columns(df, SDOH_SCHEMA)
+    return df.select(*[(F.coalesce(c, F.lit(HOME_STATE)) if c == "state" else F.col(c)).cast(t).alias(c)
+                       for c, t in SDOH_SCHEMA.items()])
 
 
 # --- SCD type 2 ---------------------------------------------------------------

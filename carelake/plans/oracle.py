@@ -153,8 +153,8 @@ def _rate(base, mult, mod):
 CTES["sdoh_raw"] = f"""
 SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS zip_code,
   CAST(30000 + n_nationkey * 2500 AS INTEGER) AS median_household_income,
-  {_rate(5, 7, 25)} AS poverty_rate, {_rate(2, 3, 10)} AS unemployment_rate,
-  {_rate(3, 11, 15)} AS uninsured_rate, {_rate(5, 13, 20)} AS food_insecurity_rate,
+  {_rate(5, 7, 45)} AS poverty_rate, {_rate(2, 3, 10)} AS unemployment_rate,
+  {_rate(3, 11, 25)} AS uninsured_rate, {_rate(5, 13, 30)} AS food_insecurity_rate,
   {_rate(2, 17, 18)} AS no_vehicle_pct
 FROM nation"""
 
@@ -293,24 +293,32 @@ _PCT = ("(CASE WHEN lower(coalesce(payer_type, '')) = 'medicaid' THEN 15 "
         "CASE WHEN CAST(billed_amount AS DOUBLE) > 50000 THEN 4 "
         "WHEN CAST(billed_amount AS DOUBLE) > 20000 THEN 2 ELSE 0 END)")
 
+CTES["denial_predictions"] = f"""
+SELECT DISTINCT claim_id, {hb('claim_id', 100, '|risk')} / 100.0::DOUBLE AS ml_risk,
+  {lst([*vocab.DENIAL_REASONS, 'Eligibility Lapsed'])}[{hb('claim_id', 8, '|why')} + 1] AS ml_reason,
+  'Send to desk ' || CAST({hb('claim_id', 4, '|desk')} AS VARCHAR) AS ml_action
+FROM raw_claims WHERE {hb('claim_id', 3, '|ml')} = 0"""
+
 CTES["claims_scored"] = f"""
 SELECT *,
   CASE WHEN is_denied THEN 'Denied' ELSE coalesce(claim_status, 'Paid') END AS claim_status_f,
   CASE WHEN risk >= 0.6 THEN 'High' WHEN risk >= 0.3 THEN 'Medium' ELSE 'Low' END AS denial_risk_category,
-  CASE WHEN reason IS NULL THEN NULL ELSE {case_map('reason', vocab.DENIAL_ACTIONS, vocab.DEFAULT_DENIAL_ACTION)} END
-    AS recommended_action
+  CASE WHEN reason IS NULL THEN NULL
+       ELSE coalesce({case_map('reason', vocab.DENIAL_ACTIONS)}, ml_action, '{vocab.DEFAULT_DENIAL_ACTION}') END AS recommended_action
 FROM (
   SELECT *, {case_map('reason_raw', vocab.DENIAL_REASON_SYNONYMS, passthrough=True)} AS reason
   FROM (
-    SELECT *, CASE WHEN is_denied THEN coalesce(denial_reason,
+    SELECT *, CASE WHEN is_denied THEN coalesce(denial_reason, ml_reason,
                 {lst(vocab.DENIAL_REASONS)}[{hb('claim_id', len(vocab.DENIAL_REASONS))} + 1]) END AS reason_raw,
-      round(least(greatest((pct * 2 + {hb('claim_id', 40, '|7')} - 20) / 100.0::DOUBLE, 0.02::DOUBLE), 0.95::DOUBLE), 4) AS risk
+      round(coalesce(ml_risk, least(greatest((pct * 2 + {hb('claim_id', 40, '|7')} - 20) / 100.0::DOUBLE, 0.02::DOUBLE),
+        0.95::DOUBLE)), 4) AS risk
     FROM (
       SELECT *, CASE WHEN denied_share >= 0.02 THEN contains(lower(coalesce(claim_status, '')), 'denied')
                      ELSE {hb('claim_id', 100)} < pct END AS is_denied
       FROM (
-        SELECT c.*, p.payer_key, p.payer_name, p.payer_type, s.denied_share, {_PCT} AS pct
+        SELECT c.*, p.payer_key, p.payer_name, p.payer_type, s.denied_share, {_PCT} AS pct, m.ml_risk, m.ml_reason, m.ml_action
         FROM silver_claims c LEFT JOIN dim_payer p ON c.payer_id = p.payer_id
+        LEFT JOIN denial_predictions m ON c.claim_id = m.claim_id
         CROSS JOIN (SELECT CASE WHEN count(*) > 0 THEN
                       count(*) FILTER (WHERE contains(lower(coalesce(claim_status, '')), 'denied')) / count(*)
                       ELSE 0.0 END AS denied_share FROM silver_claims) s))))"""

@@ -8,7 +8,8 @@ from carelake.functions.exprs import days_open, rnd, safe_ratio
 from carelake.operators import dims as D
 from carelake.operators.enrich import lookup_join
 from carelake.operators.keys import assign_stable_keys, dense_keys, duplicate_keys, high_water
-from carelake.plans.oracle import AS_OF, sql
+from carelake.plans import metrics as M
+from carelake.plans.oracle import AS_OF, rnd as rnd_sql, sql
 from carelake.plans.registry import query
 from carelake.plans.star import Star
 from carelake.sources import bindings as B
@@ -185,6 +186,33 @@ def d14(spark, d):
     return Star(spark, d).dim_sdoh()
 
 
+def _survey_rate(base: int, mult: int, mod: int) -> str:
+    return f"CAST(({base} + (n_nationkey * {mult}) % {mod}) / 100.0 AS DECIMAL(4,2))::DOUBLE"
+
+
+@query("d15_sdoh_layouts", sql(f"""
+SELECT 'generated' AS layout, zip_code, 'MI' AS state, poverty_rate, food_desert_flag, {rnd_sql('transportation_score')} AS transportation_score,
+  NULL::DOUBLE AS housing_instability_rate, uninsured_rate, NULL::DOUBLE AS broadband_access_pct, unemployment_rate,
+  median_household_income, NULL::INTEGER AS population, social_vulnerability_index, risk_tier FROM dim_sdoh
+UNION ALL
+SELECT 'survey', zip_code, state, poverty, desert, {rnd_sql('transport')}, housing, uninsured, broadband, NULL, income, population, svi,
+  CASE WHEN svi >= 0.30 THEN 'High' WHEN svi >= 0.15 THEN 'Medium' ELSE 'Low' END
+FROM (SELECT *, {rnd_sql('poverty * 0.25 + desert * 0.15 + (1 - transport) * 0.20 + housing * 0.15 + uninsured * 0.15 + (1 - broadband) * 0.10')} AS svi
+  FROM (SELECT '48' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS zip_code,
+    CASE WHEN n_nationkey % 3 <> 0 THEN 'OH' ELSE 'MI' END AS state, {_survey_rate(5, 7, 26)} AS poverty,
+    CAST(n_nationkey % 4 = 0 AS INTEGER) AS desert, {_survey_rate(30, 11, 61)} AS transport, {_survey_rate(3, 5, 23)} AS housing,
+    {_survey_rate(4, 3, 17)} AS uninsured, {_survey_rate(50, 13, 49)} AS broadband,
+    CAST(28000 + n_nationkey * 2500 AS INTEGER) AS income, CAST(1000 + n_nationkey * 3000 AS INTEGER) AS population FROM nation))"""))
+def d15(spark, d):
+    """Both SDOH layouts, each with its own index and cut points, in the gold schema."""
+    t = Star(spark, d).t
+    a = B.raw_sdoh(t).withColumn("social_vulnerability_index", D.weighted_index(D.SVI_WEIGHTS, income_col="median_household_income"))
+    a = a.withColumn("risk_tier", D.svi_tier(F.col("social_vulnerability_index")))
+    both = (D.harmonise_sdoh(a).withColumn("layout", F.lit("generated"))
+            .unionByName(D.harmonise_sdoh(D.survey_index(B.survey_sdoh(t))).withColumn("layout", F.lit("survey"))))
+    return both.withColumns({c: M.rnd(F.col(c)) for c in ("transportation_score", "social_vulnerability_index")})
+
+
 @query("b01_clean_patients", sql("""
 SELECT patient_id, first_name, last_name, gender, state, zip_code, phone, email, date_of_birth, city
 FROM silver_patients"""))

@@ -222,13 +222,13 @@ def m12(spark, d):
 @query("m13_vulnerable_cohort", sql("""
 SELECT patient_key FROM agg_adherence WHERE adherence_category = 'Non-Adherent'
 INTERSECT SELECT p.patient_key FROM dim_patient p JOIN dim_sdoh s ON p.zip_code = s.zip_code
-  WHERE p.is_current = 1 AND s.risk_tier IN ('High', 'Medium')
+  WHERE p.is_current = 1 AND s.risk_tier = 'High'
 INTERSECT SELECT patient_key FROM fact_encounter WHERE readmission_risk_category = 'High'"""))
 def m13(spark, d):
     """Non-adherent AND high social risk AND high readmission risk."""
     s = Star(spark, d)
     a = adherence(s).where(F.col("adherence_category") == "Non-Adherent").select("patient_key")
-    sd = F.broadcast(s.dim_sdoh().where(F.col("risk_tier").isin("High", "Medium")).select("zip_code"))
+    sd = F.broadcast(s.dim_sdoh().where((F.col("risk_tier") == "High")).select("zip_code"))
     b = s.dim_patient().where("is_current = 1").join(sd, "zip_code").select("patient_key")
     c = s.fact_encounter().where(F.col("readmission_risk_category") == "High").select("patient_key")
     return a.intersect(b).intersect(c)

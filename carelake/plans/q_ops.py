@@ -12,6 +12,7 @@ from carelake.plans.q_scoring import FRAUD_SQL, GAP_SQL, TRAJ_SQL, feeds, fraud,
 from carelake.plans.registry import query
 from carelake.plans.star import Star
 from carelake.sources import bindings as B
+from carelake.sources.io import reference_rows
 
 AS_OF_TS = "2025-11-28 00:00:00"
 ALL = {**FRAUD_SQL, **GAP_SQL, **TRAJ_SQL}
@@ -172,8 +173,8 @@ def l14(spark, d):
     """CRITICAL items routed to an action and destination (broadcast
     lookup of three rows)."""
     s = Star(spark, d)
-    routes = spark.createDataFrame(ROUTES, "alert_type string, action string, destination string")
-    return (alert_union(s).where(F.col("priority") == "CRITICAL").join(F.broadcast(routes), "alert_type", "left")
+    routes = reference_rows(spark, ROUTES, "alert_type string, action string, destination string")
+    return (alert_union(s).where(F.col("priority") == "CRITICAL").join(routes, "alert_type", "left")
             .select("patient_id", "alert_type", F.coalesce("action", F.lit(OTHER_ROUTE[0])).alias("action"),
                     F.coalesce("destination", F.lit(OTHER_ROUTE[1])).alias("destination")).distinct())
 

@@ -57,11 +57,11 @@ def h25(spark, d):
 @query("i15_high_vulnerability_members", sql("""
 SELECT p.patient_id, p.zip_code, s.social_vulnerability_index, s.risk_tier
 FROM dim_patient p JOIN dim_sdoh s ON p.zip_code = s.zip_code
-WHERE p.is_current = 1 AND s.risk_tier IN ('High', 'Medium') AND s.social_vulnerability_index >= 0.20"""))
+WHERE p.is_current = 1 AND s.risk_tier = 'High' AND s.social_vulnerability_index >= 0.20"""))
 def i15(spark, d, min_svi: float = 0.20):
     """Members living in high-vulnerability zips."""
     t = _tiers(Star(spark, d))
-    return (t.where(F.col("risk_tier").isin("High", "Medium") & (F.col("social_vulnerability_index") >= min_svi))
+    return (t.where((F.col("risk_tier") == "High") & (F.col("social_vulnerability_index") >= min_svi))
             .select("patient_id", "zip_code", "social_vulnerability_index", "risk_tier"))
 
 
@@ -97,14 +97,14 @@ FROM (SELECT patient_id, patient_key, CAST(sum(readmission_flag) AS BIGINT) AS r
 JOIN dim_patient p ON r.patient_key = p.patient_key
 JOIN dim_sdoh s ON p.zip_code = s.zip_code
 LEFT JOIN (SELECT patient_key, avg(pdc_score) AS avg_pdc FROM agg_adherence GROUP BY 1) a ON r.patient_key = a.patient_key
-WHERE s.risk_tier IN ('High', 'Medium')"""))
+WHERE s.risk_tier = 'High'"""))
 def i18(spark, d):
     """Readmitted patients living in higher social-risk zips, with their
     average PDC (semi-join chain, one aggregate per branch)."""
     s = Star(spark, d)
     r = (s.fact_encounter().groupBy("patient_id", "patient_key")
          .agg(F.sum("readmission_flag").cast("long").alias("readmissions")).where("readmissions > 0"))
-    t = _tiers(s).where(F.col("risk_tier").isin("High", "Medium")).select("patient_key", "risk_tier")
+    t = _tiers(s).where((F.col("risk_tier") == "High")).select("patient_key", "risk_tier")
     a = adherence(s).groupBy("patient_key").agg(F.avg("pdc_score").alias("_pdc"))
     return (r.join(t, "patient_key").join(a, "patient_key", "left")
             .select("patient_id", "risk_tier", "readmissions", M.rnd(F.col("_pdc")).alias("avg_pdc")))

@@ -155,7 +155,8 @@ class Star:
             s = s.withColumn("social_vulnerability_index",
                              D.weighted_index(D.SVI_WEIGHTS, income_col="median_household_income"))
             s = s.withColumn("risk_tier", D.svi_tier(F.col("social_vulnerability_index")))
-            return D.harmonise_sdoh(s)
+            # the columns this layout fills
+            return D.harmonise_sdoh(s).drop("state", "housing_instability_rate", "broadband_access_pct", "population")
         return self._snap("dim_sdoh", build)
 
     def dim_medication(self) -> DataFrame:
@@ -203,7 +204,11 @@ class Star:
             py = self.dim_payer().select("payer_id", "payer_key", "payer_name", "payer_type")
             # no hint: dirty payer ids would grow dim_payer, so its size decides
             c = c.join(py, "payer_id", "left")
-            c = E.score_claims(c)
+            p = B.raw_denial_predictions(self.t).select(
+                "claim_id", F.col("denial_risk_score").alias("ml_risk"), F.col("primary_denial_reason").alias("ml_reason"),
+                F.col("recommended_action").alias("ml_action"))
+            E.require_columns(c, ["claim_id", "claim_status", "billed_amount", "payer_type"], "claims")
+            c = E.score_claims(c.join(p, "claim_id", "left"))
             c = E.resolve_fk(c, self.dim_patient(), "patient_id", "patient_key")
             c = E.resolve_fk(c, self.dim_provider(), "provider_id", "provider_key")
             enc = self.fact_encounter().select(F.col("encounter_id").alias("_eid"), "encounter_key", "facility_key")

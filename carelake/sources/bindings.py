@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions import vocab
+from carelake.functions.exprs import hash_bucket
 from carelake.sources.tables import Tables
 
 
@@ -139,14 +140,29 @@ def raw_sdoh(t: Tables) -> DataFrame:
     return n.select(
         F.lpad(k.cast("string"), 5, "0").alias("zip_code"),
         (F.lit(30000) + k * 2500).cast("int").alias("median_household_income"),
-        rate(5, 7, 25).alias("poverty_rate"),
+        rate(5, 7, 45).alias("poverty_rate"),
         rate(2, 3, 10).alias("unemployment_rate"),
-        rate(3, 11, 15).alias("uninsured_rate"),
-        rate(5, 13, 20).alias("food_insecurity_rate"),
+        rate(3, 11, 25).alias("uninsured_rate"),
+        rate(5, 13, 30).alias("food_insecurity_rate"),
         rate(2, 17, 18).alias("no_vehicle_pct"),
     )
 
 
+def survey_sdoh(t: Tables) -> DataFrame:
+    """The other SDOH layout, one row per zip: gold column names, no state for every
+    third zip."""
+    k = F.col("n_nationkey")
+
+    def rate(base: int, mult: int, mod: int) -> Column:
+        return ((F.lit(base) + (k * mult) % mod) / 100).cast("decimal(4,2)")
+    return t.nation.select(
+        F.concat(F.lit("48"), F.lpad(k.cast("string"), 3, "0")).alias("zip_code"), F.when(k % 3 != 0, F.lit("OH")).alias("state"),
+        rate(5, 7, 26).alias("poverty_rate"), (k % 4 == 0).cast("int").alias("food_desert_flag"),
+        rate(30, 11, 61).alias("transportation_score"), rate(3, 5, 23).alias("housing_instability_rate"),
+        rate(4, 3, 17).alias("uninsured_rate"), rate(50, 13, 49).alias("broadband_access_pct"),
+        (F.lit(28000) + k * 2500).cast("int").alias("median_household_income"), (F.lit(1000) + k * 3000).cast("int").alias("population"))
+
+
 def raw_medications(t: Tables) -> DataFrame:
     p = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     return p.select(
@@ -250,6 +266,17 @@ def raw_claims(t: Tables) -> DataFrame:
             ))
 
 
+def raw_denial_predictions(t: Tables) -> DataFrame:
+    """Optional predictions for about a third of the claims: risk, reason (one label
+    no vocabulary knows) and next step."""
+    claim = F.concat(F.lit("CLM"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    p = t.lineitem.select(claim.alias("claim_id")).distinct().where(hash_bucket("claim_id", 3, "|ml") == 0)
+    return p.select(
+        "claim_id", (hash_bucket("claim_id", 100, "|risk") / 100).alias("denial_risk_score"),
+        _pick([*vocab.DENIAL_REASONS, "Eligibility Lapsed"], hash_bucket("claim_id", 8, "|why")).alias("primary_denial_reason"),
+        F.concat(F.lit("Send to desk "), hash_bucket("claim_id", 4, "|desk").cast("string")).alias("recommended_action"))
+
+
 def raw_prescriptions(t: Tables) -> DataFrame:
     l = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                           "l_extendedprice", "l_discount", "l_tax", "l_shipdate")

@@ -1,15 +1,12 @@
-"""Sources and sinks.
-
-Writers never overwrite the path they read from: every snapshot goes to a
-new version folder, and readers take the newest complete version.
+"""Sources and sinks (A1-A4, A7-A12). Versioned tables and what is written as
+one (A5, A6, A13) are in ``sources.versions``.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,26 +50,6 @@ def union_evolving(base: DataFrame, incr: DataFrame) -> DataFrame:
     return base.unionByName(incr, allowMissingColumns=True)
 
 
-def write_snapshot(df: DataFrame, target_root: str, partition_by: Sequence[str] = ()) -> str:
-    """A5: write a full replacement as a new version folder and return it
-    (data and schema both replaced; the previous version stays readable)."""
-    path = f"{target_root.rstrip('/')}/v={uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-def append_evolving(df: DataFrame, target: str) -> None:
-    """Append; readers merge schemas so new columns are allowed."""
-    df.write.mode("append").parquet(target)
-
-
-def read_evolving(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(target)
-
-
 def manifest_check(expected: DataFrame, found: DataFrame, key: str = "table") -> DataFrame:
     """Required inputs that are missing (left anti join)."""
     return expected.join(found.select(key).distinct(), key, "left_anti")
@@ -92,6 +69,15 @@ def load_audit(df: DataFrame, table: str, sink: str | None = None) -> tuple[Data
     return df.observe(obs, F.count(F.lit(1)).alias("row_count")), obs
 
 
+def audited(spark: SparkSession, table: str, load) -> DataFrame:
+    """Run ``load``, a function that returns the number of rows it loaded, and
+    return its audit row; a load that fails is recorded, with the error's name."""
+    try:
+        return audit_row(spark, table, "OK", load(), None)
+    except PySparkException as e:
+        return audit_row(spark, table, "FAILED", None, e.getCondition() or type(e).__name__)
+
+
 def audit_row(spark: SparkSession, table: str, status: str, rows: int | None, error: str | None) -> DataFrame:
     return spark.createDataFrame([(table, status, rows, error)],
                                  "table_name string, status string, row_count long, error string") \
@@ -135,14 +121,6 @@ def reference_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataF
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-def write_alerts(df: DataFrame, snapshot_root: str, feed_path: str, feed_cols: Sequence[str]) -> str:
-    """Alert snapshot (parquet, new version) plus a JSON-lines feed of
-    a projected subset, both written by executors (no driver hop)."""
-    path = write_snapshot(df, snapshot_root)
-    df.select(*feed_cols).write.mode("append").json(feed_path)
-    return path
-
-
 def ingest_new_files(spark: SparkSession, src_dir: str, schema, target: str, checkpoint: str,
                      archive_dir: str | None = None, fmt: str = "csv"):
     """Consume each new file exactly once (the file-source checkpoint
