@@ -180,6 +180,16 @@ SELECT {ident('NDC', 'p_partkey', 6)} AS medication_code,
   row_number() OVER (ORDER BY {ident('NDC', 'p_partkey', 6)}) AS medication_key
 FROM part"""
 
+CTES["dim_location"] = f"""
+SELECT {ident('LOC', 's_suppkey', 4)} AS location_id, 'Unit ' || CAST(s_suppkey AS VARCHAR) AS unit_name,
+  row_number() OVER (ORDER BY {ident('LOC', 's_suppkey', 4)}) AS location_key FROM supplier"""
+
+CTES["dim_monitor"] = f"""
+SELECT m.*, f.facility_key, l.location_key, l.unit_name, row_number() OVER (ORDER BY device_id) AS monitor_key
+FROM (SELECT {ident('MON', 'p_partkey', 6)} AS device_id, p_type AS device_type, p_brand AS device_model,
+        {ident('LOC', 'p_size * 3', 4)} AS location_id, {ident('FAC', 'p_size', 3)} AS facility_id, p_size > 2 AS is_active FROM part) m
+LEFT JOIN dim_facility f ON m.facility_id = f.facility_id LEFT JOIN dim_location l ON m.location_id = l.location_id"""
+
 CTES["dim_diagnosis"] = f"""
 SELECT {ident('ICD', 'p_partkey', 5)} AS icd_code, p_name AS icd_description, p_type AS icd_category,
   CAST(p_size % 2 AS INTEGER) AS is_chronic, {pick(vocab.STANDARD_ICD, 'p_partkey % 10')} AS standard_code,
@@ -362,19 +372,24 @@ QUALIFY row_number() OVER (PARTITION BY prescription_id ORDER BY fill_date DESC
   refill_number DESC NULLS LAST, total_cost DESC NULLS LAST, copay_amount DESC NULLS LAST,
   is_generic DESC NULLS LAST, payer_id DESC NULLS LAST) = 1"""
 
+CTES["encounter_payer"] = """
+SELECT encounter_id, payer_id FROM silver_claims WHERE encounter_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY encounter_id ORDER BY claim_date DESC NULLS LAST, payer_id DESC NULLS LAST) = 1"""
+
 CTES["fact_prescription"] = f"""
-SELECT r.prescription_id, r.patient_id, r.provider_id, r.payer_id, r.encounter_id, r.medication_code,
+SELECT r.prescription_id, r.patient_id, r.provider_id, coalesce(b.payer_id, r.payer_id) AS payer_id, r.encounter_id, r.medication_code,
   p.patient_key, pr.provider_key, m.medication_key, e.encounter_key, py.payer_key,
   r.fill_date, {dkey('r.fill_date')} AS fill_date_key, r.days_supply, r.quantity, r.refill_number,
   r.total_cost, r.copay_amount AS patient_copay,
   CAST(r.total_cost - r.copay_amount AS DECIMAL(18,2)) AS payer_paid,
   CASE WHEN r.is_generic THEN 1 ELSE 0 END AS is_generic
 FROM silver_prescriptions r
+LEFT JOIN encounter_payer b ON r.encounter_id = b.encounter_id
 JOIN dim_patient p ON r.patient_id = p.patient_id AND p.is_current = 1
 JOIN dim_provider pr ON r.provider_id = pr.provider_id AND pr.is_current = 1
 LEFT JOIN dim_medication m ON r.medication_code = m.medication_code
 LEFT JOIN fact_encounter e ON r.encounter_id = e.encounter_id
-LEFT JOIN dim_payer py ON r.payer_id = py.payer_id"""
+LEFT JOIN dim_payer py ON coalesce(b.payer_id, r.payer_id) = py.payer_id"""
 
 CTES["silver_diagnoses"] = f"""
 SELECT * FROM (
@@ -401,7 +416,7 @@ LEFT JOIN fact_encounter e ON d.encounter_id = e.encounter_id"""
 
 
 CTES["agg_adherence"] = f"""
-SELECT CAST(patient_key * (SELECT greatest(100000, max(medication_key) + 1) FROM dim_medication) + medication_key AS BIGINT) AS adherence_key, patient_key, medication_key,
+SELECT row_number() OVER (ORDER BY patient_key, medication_key) AS adherence_key, patient_key, medication_key,
   drug_class, therapeutic_area, measurement_period_start, measurement_period_end, total_fills,
   total_days_supply, days_in_period, covered_days, pdc_score,
   CASE WHEN pdc_score >= 0.80 THEN 'Adherent' WHEN pdc_score >= 0.50 THEN 'Partially Adherent'

@@ -186,6 +186,14 @@ def d14(spark, d):
     return Star(spark, d).dim_sdoh()
 
 
+@query("d13b_monitor_dimension", sql("""
+SELECT monitor_key, device_id, device_type, device_model, facility_key, location_key, unit_name, is_active FROM dim_monitor"""))
+def d13b(spark, d):
+    """Monitors with facility and location keys, null where nobody knows the place."""
+    return Star(spark, d).dim_monitor().select("monitor_key", "device_id", "device_type", "device_model", "facility_key",
+                                               "location_key", "unit_name", "is_active")
+
+
 def _survey_rate(base: int, mult: int, mod: int) -> str:
     return f"CAST(({base} + (n_nationkey * {mult}) % {mod}) / 100.0 AS DECIMAL(4,2))::DOUBLE"
 

@@ -107,6 +107,25 @@ def m06(spark, d):
             .join(com, "zip_code").select("claim_id", "encounter_id", "patient_id", "zip_code", "risk_tier"))
 
 
+@query("m06b_provider_patient_community_path", sql("""
+SELECT r.provider_id, s.zip_code, s.risk_tier, count(*) AS encounters, count(DISTINCT p.patient_key) AS patients
+FROM fact_encounter e JOIN dim_provider r ON e.provider_key = r.provider_key
+JOIN dim_patient p ON e.patient_key = p.patient_key AND p.is_current = 1
+JOIN dim_sdoh s ON p.zip_code = s.zip_code GROUP BY 1, 2, 3"""))
+def m06b(spark, d):
+    """M6: Provider <-treatedBy- Encounter -involves-> Patient -livesIn-> CommunityHealth,
+    counted per provider and community."""
+    g = graph(Star(spark, d))
+    by = g.edges("treatedBy").select(F.col("src").alias("encounter_key"), F.col("dst").alias("provider_key"))
+    inv = g.edges("involves").select(F.col("src").alias("encounter_key"), F.col("dst").alias("patient_key"))
+    doc = g.nodes("Provider").select("provider_key", "provider_id")
+    pat = g.nodes("Patient").select("patient_key", "zip_code")
+    com = g.nodes("CommunityHealth").select("zip_code", "risk_tier")
+    return (by.join(inv, "encounter_key").join(doc, "provider_key").join(pat, "patient_key").join(com, "zip_code")
+            .groupBy("provider_id", "zip_code", "risk_tier")
+            .agg(F.count(F.lit(1)).alias("encounters"), F.countDistinct("patient_key").alias("patients")))
+
+
 @query("m07_patient_profile", sql("""
 SELECT p.patient_id, coalesce(c.n, 0) AS claims, coalesce(e.n, 0) AS encounters, coalesce(r.n, 0) AS prescriptions,
   coalesce(x.n, 0) AS diagnoses

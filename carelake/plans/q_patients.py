@@ -205,3 +205,27 @@ def i39(spark, d):
                  M.rnd(F.corr("pov", "readmit_rate")).alias("corr_poverty_readmission"),
                  M.rnd(F.corr("pov", "avg_pdc")).alias("corr_poverty_pdc"),
                  F.count(F.lit(1)).alias("patients"))
+
+
+SOCIAL_FACTORS = ["poverty_rate", "uninsured_rate", "unemployment_rate", "transportation_score", "median_household_income",
+                  "social_vulnerability_index"]
+
+
+@query("i39b_social_factor_correlations", sql("\nUNION ALL\n".join(f"""
+SELECT '{f}' AS factor, {rnd(f'corr(CAST(s.{f} AS DOUBLE), e.readmit_rate)')} AS corr_readmission,
+  {rnd(f'corr(CAST(s.{f} AS DOUBLE), a.avg_pdc)')} AS corr_pdc
+FROM (SELECT patient_key, CAST(sum(readmission_flag) AS DOUBLE) / count(*) AS readmit_rate FROM fact_encounter
+      WHERE patient_key IS NOT NULL GROUP BY 1) e
+JOIN (SELECT patient_key, avg(pdc_score) AS avg_pdc FROM agg_adherence GROUP BY 1) a ON e.patient_key = a.patient_key
+JOIN dim_patient p ON e.patient_key = p.patient_key JOIN dim_sdoh s ON p.zip_code = s.zip_code""" for f in SOCIAL_FACTORS)))
+def i39b(spark, d):
+    """Every social factor against readmission and adherence, one pass."""
+    s = Star(spark, d)
+    e = (s.fact_encounter().where(F.col("patient_key").isNotNull()).groupBy("patient_key")
+         .agg((F.sum("readmission_flag") / F.count(F.lit(1))).alias("readmit_rate")))
+    a = adherence(s).groupBy("patient_key").agg(F.avg("pdc_score").alias("avg_pdc"))
+    z = s.dim_sdoh().select("zip_code", *[F.col(c).cast("double").alias(c) for c in SOCIAL_FACTORS])
+    j = e.join(a, "patient_key").join(_cur(s).select("patient_key", "zip_code"), "patient_key").join(z, "zip_code")
+    long = j.unpivot(["readmit_rate", "avg_pdc"], SOCIAL_FACTORS, "factor", "level")
+    return long.groupBy("factor").agg(M.rnd(F.corr("level", "readmit_rate")).alias("corr_readmission"),
+                                      M.rnd(F.corr("level", "avg_pdc")).alias("corr_pdc"))

@@ -12,8 +12,9 @@ from carelake.plans.star import Star
 
 
 def adherence(s: Star):
-    """F4 over the star (the reference PDC)."""
-    return A.pdc_simple(s.fact_prescription(), s.dim_medication())
+    """F4/F5 over the star, kept once a session."""
+    return s.snapshot("agg_adherence", lambda: A.adherence_keys(
+        A.pdc_simple(s.fact_prescription(), s.dim_medication())))
 
 
 def chronic_fills(s: Star):
@@ -39,7 +40,7 @@ SELECT adherence_key, patient_key, medication_key, drug_class, therapeutic_area,
   {MONEY.format('total_patient_cost')} AS total_patient_cost, gap_days, is_chronic
 FROM agg_adherence"""))
 def f04(spark, d):
-    """agg_medication_adherence (reference PDC, composite key)."""
+    """agg_medication_adherence, keyed by patient and medication."""
     a = adherence(Star(spark, d))
     return a.select("adherence_key", "patient_key", "medication_key", "drug_class", "therapeutic_area",
                     "measurement_period_start", "measurement_period_end", "total_fills", "total_days_supply",

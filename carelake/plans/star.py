@@ -16,6 +16,7 @@ from carelake.functions import vocab
 from carelake.functions.exprs import AGE_EDGES, AGE_LABELS, bucketize, date_key, risk_tier, years_since
 from carelake.operators import dims as D
 from carelake.operators import facts as E
+from carelake.operators.enrich import lookup_join
 from carelake.operators.keys import dense_keys, latest_per_key
 from carelake.session import materialise
 from carelake.sources import bindings as B
@@ -163,6 +164,17 @@ class Star:
         return self._snap("dim_medication",
                           lambda: dense_keys(B.raw_medications(self.t), "medication_code", "medication_key"))
 
+    def dim_location(self) -> DataFrame:
+        return self._snap("dim_location", lambda: dense_keys(B.raw_locations(self.t), "location_id", "location_key"))
+
+    def dim_monitor(self) -> DataFrame:
+        """Type-1 dimension with the keys of its facility and its location."""
+        def build():
+            m = lookup_join(B.raw_monitors(self.t), self.dim_facility(), "facility_id", ["facility_key"])
+            m = lookup_join(m, self.dim_location(), "location_id", ["location_key", "unit_name"])
+            return dense_keys(m.withColumn("patient_key", F.lit(None).cast("long")), "device_id", "monitor_key")
+        return self._snap("dim_monitor", build)
+
     def dim_diagnosis(self) -> DataFrame:
         return self._snap("dim_diagnosis",
                           lambda: dense_keys(B.raw_icd(self.t), "icd_code", "diagnosis_key"))
@@ -237,6 +249,10 @@ class Star:
             r = r.join(med, "medication_code", "left")
             enc = self.fact_encounter().select(F.col("encounter_id").alias("_eid"), "encounter_key")
             r = r.join(enc, r["encounter_id"] == enc["_eid"], "left").drop("_eid")
+            # the payer of the encounter's latest claim; the row's own where it has none
+            bridge = E.one_per_group(self.silver_claims().where("encounter_id IS NOT NULL"), "encounter_id",
+                                     ["claim_date", "payer_id"], "payer_id").withColumnRenamed("payer_id", "_bridged")
+            r = r.join(bridge, "encounter_id", "left").withColumn("payer_id", F.coalesce("_bridged", "payer_id"))
             py = self.dim_payer().select("payer_id", "payer_key")
             r = r.join(py, "payer_id", "left")
             return r.select(

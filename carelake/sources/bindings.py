@@ -163,6 +163,22 @@ def survey_sdoh(t: Tables) -> DataFrame:
         (F.lit(28000) + k * 2500).cast("int").alias("median_household_income"), (F.lit(1000) + k * 3000).cast("int").alias("population"))
 
 
+def raw_locations(t: Tables) -> DataFrame:
+    """Units in which devices stand: one per supplier."""
+    k = F.col("s_suppkey")
+    return t.supplier.select(_id("LOC", "s_suppkey", 4).alias("location_id"),
+                             F.concat(F.lit("Unit "), k.cast("string")).alias("unit_name"),
+                             (F.floor(k / 10) + 1).cast("int").alias("floor_number"))
+
+
+def raw_monitors(t: Tables) -> DataFrame:
+    """Devices: one per part; some stand in locations or facilities nobody knows."""
+    return t.part.select(
+        _id("MON", "p_partkey", 6).alias("device_id"), F.col("p_type").alias("device_type"), F.col("p_brand").alias("device_model"),
+        _id("LOC", F.col("p_size") * 3, 4).alias("location_id"), _id("FAC", "p_size", 3).alias("facility_id"),
+        (F.col("p_size") > 2).alias("is_active"))
+
+
 def raw_medications(t: Tables) -> DataFrame:
     p = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     return p.select(

@@ -59,3 +59,15 @@ def test_prefix_max_two_level_scan_equals_window(spark):
     w = Window.partitionBy("k").orderBy("d", "id").rowsBetween(Window.unboundedPreceding, -1)
     ref = df.withColumn("pm", F.max("v").over(w))
     assert sorted(map(tuple, got.select("id", "pm").collect())) == sorted(map(tuple, ref.select("id", "pm").collect()))
+
+
+def test_adherence_keys_stay(spark):
+    from carelake.operators.aggs import adherence_keys
+    pairs = "patient_key long, medication_key long"
+    first = adherence_keys(spark.createDataFrame([(2, 5), (1, 9), (1, 2)], pairs))
+    assert sorted(map(tuple, first.select("patient_key", "medication_key", "adherence_key").collect())) == [
+        (1, 2, 1), (1, 9, 2), (2, 5, 3)]
+    more = spark.createDataFrame([(2, 5), (1, 9), (1, 2), (1, 1), (1, 100_001)], pairs)
+    known = first.select("patient_key", "medication_key", "adherence_key")
+    next_ = {(r.patient_key, r.medication_key): r.adherence_key for r in adherence_keys(more, known).collect()}
+    assert next_ == {(1, 2): 1, (1, 9): 2, (2, 5): 3, (1, 1): 4, (1, 100_001): 5}
