@@ -20,7 +20,9 @@ of thousands of copies never becomes all its pairs. That second comparison
 (and the first) is a join on the bucket whose condition holds an exact bound:
 each document carries 64 * PARITY_WORDS bits, bit h being the parity of its
 shingles that hash to h, so two documents differ in at least as many shingles
-as these bits differ. Pairs that differ in too many are never made.
+as these bits differ. Pairs that differ in too many are never made. The second
+comparison deals each bucket's two sides to a grid of lanes of about LANE rows
+a side, so a bucket with a third of all rows is many tasks and not one.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ PARITY_WORDS = 32
 #: Up to so many ids (8 bytes each) are broadcast to pick the texts to confirm;
 #: beyond that, the texts are shuffled by id.
 BROADCAST_IDS = 1_000_000
+#: Rows a side that one lane of a bucket holds on average.
+LANE = 1024
 _U = np.uint64
 _RANK = np.random.default_rng(7).random((REGISTERS, REGISTERS), dtype=np.float32)
 
@@ -101,6 +105,14 @@ def _may_reach(left: str, right: str, numerator: int, denominator: int):
             & (differ * (denominator + numerator) <= (na + nb) * (denominator - numerator)))
 
 
+def _lane(lanes: str):
+    return F.pmod(F.xxhash64("id"), F.col(lanes))
+
+
+def _each_lane(lanes: str):
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(lanes) - 1))
+
+
 def _sketch_rows(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,17 +244,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .join(labels.toDF("head", "head_comp"), "head", "left")
               .select("bucket", "id", "comp", F.coalesce("head_comp", "head").alias("main"), "head"))
     tagged = materialise(tagged, "near-dup-tagged")
-    open_ = tagged.join(tagged.where("comp <> main").select("bucket").distinct(), "bucket", "left_semi")
+    # only buckets with members outside their main component, each with its grid of lanes
+    lanes = (tagged.groupBy("bucket").agg(F.count_if(F.expr("comp <> main")).alias("outer"),
+                                           F.count_if(F.expr("id <> head")).alias("others"))
+             .where("outer > 0").select("bucket", F.ceil(F.col("outer") / LANE).alias("out_lanes"),
+                                        F.ceil(F.col("others") / LANE).alias("rest_lanes")))
+    open_ = tagged.join(lanes, "bucket")
     size = classes.select("id", "n", "par")
     open_ = materialise(open_.join(size, "id"), "near-dup-open")
-    out = open_.where("comp <> main").select("bucket", F.col("id").alias("x"), F.col("comp").alias("cx"),
-                                             F.col("n").alias("nx"), F.col("par").alias("px"))
-    rest = open_.where("id <> head").select("bucket", F.col("id").alias("y"), F.col("comp").alias("cy"),
-                                            F.col("n").alias("ny"), F.col("par").alias("py"),
-                                            (F.col("comp") == F.col("main")).alias("inner"))
-    near = (out["bucket"] == rest["bucket"]) & (F.col("cx") != F.col("cy")) & (
-        F.col("inner") | (F.col("x") < F.col("y"))) & _may_reach("x", "y", numerator, denominator)
-    more = (out.join(rest, near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    # a row has one lane of its own side and is copied to each lane of the other
+    out = (open_.where("comp <> main").select("bucket", F.col("id").alias("x"), F.col("comp").alias("cx"),
+                                              F.col("n").alias("nx"), F.col("par").alias("px"), _lane("out_lanes").alias("row"),
+                                              _each_lane("rest_lanes").alias("col")))
+    rest = (open_.where("id <> head").select(F.col("bucket").alias("bucket_y"), F.col("id").alias("y"), F.col("comp").alias("cy"),
+                                             F.col("n").alias("ny"), F.col("par").alias("py"),
+                                             (F.col("comp") == F.col("main")).alias("inner"), _lane("rest_lanes").alias("col_y"),
+                                             _each_lane("out_lanes").alias("row_y")))
+    cell = [F.col(c) == F.col(f"{c}_y") for c in ("bucket", "row", "col")]
+    near = [F.col("cx") != F.col("cy"), F.col("inner") | (F.col("x") < F.col("y")), _may_reach("x", "y", numerator, denominator)]
+    more = (out.join(rest, cell + near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             .join(star, ["a", "b"], "left_anti"))
     more = materialise(more, "near-dup-more")
     if more.limit(1).count():

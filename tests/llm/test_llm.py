@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from carelake.llm import sharding, url_filter
+from carelake.llm import near_dup, sharding, url_filter
 from carelake.llm.decontaminate import contamination, decontaminate
 from carelake.llm.near_dup import near_duplicates, parity
 from carelake.llm.pii import pseudonymise
@@ -57,8 +57,9 @@ def near_dup_by_brute_force(docs, k):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("k", [2, 5])
-def test_near_duplicates_equal_brute_force(spark, k):
+@pytest.mark.parametrize("k,lane", [(2, near_dup.LANE), (5, near_dup.LANE), (2, 1), (3, 2)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, k, lane):
+    monkeypatch.setattr(near_dup, "LANE", lane)
     rng = random.Random(k)
     docs = []
     for g in range(12):  # clouds of mutated copies around the threshold
@@ -75,6 +76,29 @@ def test_near_duplicates_equal_brute_force(spark, k):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_across_lanes(spark, monkeypatch):
+    """Links between members of a cloud of near misses: nearly every bucket
+    they share is headed by another document, so only the second comparison,
+    here in lanes of three rows, finds them."""
+    seen, real = [], near_dup._verified
+    monkeypatch.setattr(near_dup, "LANE", 3)
+    monkeypatch.setattr(near_dup, "_verified", lambda pairs, *a: seen.append(pairs.count()) or real(pairs, *a))
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(100)]
+
+    def changed(words, n, mark):
+        words = list(words)
+        for j in rng.sample(range(100), n):
+            words[j] = f"{mark}x{j}"
+        return words
+    clouds = [changed(base, 5, i) for i in range(110)]
+    clouds += [changed(w, 1, f"{i}c") for i, w in enumerate(clouds[100:] * 2)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(clouds)]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle_words=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_dup_by_brute_force(docs, 2)
+    assert len(seen) == 2 and seen[1] >= 10
+
+
 def test_near_duplicates_odd_rows(spark):
     got = near_duplicates(odd_docs(spark), shingle_words=2).collect()
     assert len(got) == 8
