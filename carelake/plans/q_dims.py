@@ -178,6 +178,16 @@ def d12(spark, d):
     return Star(spark, d).dim_payer().select("payer_key", "payer_id", "payer_name", "payer_type")
 
 
+@query("d12b_payers_without_table", sql("""
+SELECT DISTINCT payer_id, payer_id AS payer_name, CASE WHEN contains(lower(payer_id), 'medicare') THEN 'Medicare'
+  WHEN contains(lower(payer_id), 'medicaid') THEN 'Medicaid' WHEN contains(lower(payer_id), 'self') THEN 'Self-Pay'
+  WHEN contains(lower(payer_id), 'cash') THEN 'Self-Pay' ELSE 'Commercial' END AS payer_type
+FROM silver_claims WHERE payer_id IS NOT NULL"""))
+def d12b(spark, d):
+    """D12 where no payer table was delivered: ids serve as names."""
+    return D.derive_payers(Star(spark, d).silver_claims(), None).select("payer_id", "payer_name", "payer_type")
+
+
 @query("d14_sdoh_dimension", sql("""
 SELECT zip_code, poverty_rate, food_desert_flag, transportation_score, uninsured_rate, unemployment_rate,
   median_household_income, social_vulnerability_index, risk_tier FROM dim_sdoh"""))

@@ -167,7 +167,7 @@ def i38(spark, d, target: float = 0.15):
     """Readmission rate by condition x facility against a target."""
     s = Star(spark, d)
     dx = s.dim_diagnosis().select(F.col("icd_code").alias("primary_diagnosis_code"), "icd_category")
-    fac = F.broadcast(s.dim_facility().select("facility_key", "facility_name"))  # one row per nation
+    fac = s.dim_facility().select("facility_key", "facility_name")
     g = (s.fact_encounter().join(dx, "primary_diagnosis_code").join(fac, "facility_key")
          .groupBy("icd_category", "facility_name")
          .agg(F.count(F.lit(1)).alias("encounters"), M.readmission_rate().alias("readmission_rate"),
@@ -316,7 +316,7 @@ def h26(spark, d):
     b = s.fact_claim().where(F.col("claim_status") == "Paid").agg(
         F.coalesce(M.money(F.sum("billed_amount") - F.sum("paid_amount")), F.lit(0.0)).alias("revenue_leakage"))
     pat = s.dim_patient().select("patient_key", "zip_code")
-    sd = F.broadcast(s.dim_sdoh().where(F.col("risk_tier") == "High").select("zip_code"))
+    sd = s.dim_sdoh().where(F.col("risk_tier") == "High").select("zip_code")
     c = fe.join(pat, "patient_key").join(sd, "zip_code").agg(M.readmission_rate().alias("sdoh_high_readmission_rate"))
     return a.crossJoin(b).crossJoin(c)  # one-row aggregates
 
@@ -331,7 +331,7 @@ def i34b(spark, d):
     """Facilities ranked by readmission rate (rank over one row per
     facility)."""
     s = Star(spark, d)
-    fac = F.broadcast(s.dim_facility().select("facility_key", "facility_name"))
+    fac = s.dim_facility().select("facility_key", "facility_name")
     g = (s.fact_encounter().join(fac, "facility_key").groupBy("facility_name")
          .agg(F.count(F.lit(1)).alias("encounters"), M.readmission_rate().alias("readmission_rate")))
     return g.withColumn("readmission_rank", F.dense_rank().over(Window.orderBy(F.col("readmission_rate").desc())))

@@ -31,12 +31,10 @@ def _where_current(table: str, alias: str = "") -> str:
 
 def _validation_sql() -> str:
     parts = []
-    for etype, (src, dst, table, fk, ref) in EDGE_TYPES.items():
-        pk = NODE_TYPES[src][1]
+    for etype, (src, dst, table, fk) in EDGE_TYPES.items():
         dtable, dpk = NODE_TYPES[dst]
         parts.append(
             f"SELECT '{etype}' AS edge, '{table}' AS table_name, true AS pk_exists, true AS fk_exists, "
-            f"'{ref}' AS reference_source_col, {'true' if ref != pk else 'false'} AS source_bound_to_fk, "
             f"(SELECT count(*) FROM {table} t WHERE t.{fk} IS NOT NULL{_where_current(table, 't')} AND t.{fk} NOT IN "
             f"(SELECT {dpk} FROM {dtable} WHERE {dpk} IS NOT NULL{_where_current(dtable)})) AS orphan_edges")
     return "\nUNION ALL\n".join(parts)
@@ -46,14 +44,13 @@ def _counts_sql() -> str:
     parts = [f"SELECT 'node' AS kind, '{l}' AS name, count(*) AS n FROM {t} WHERE {pk} IS NOT NULL{_where_current(t)}"
              for l, (t, pk) in NODE_TYPES.items()]
     parts += [f"SELECT 'edge', '{e}', count(*) FROM {t} WHERE {fk} IS NOT NULL{_where_current(t)}"
-              for e, (_, _, t, fk, _) in EDGE_TYPES.items()]
+              for e, (_, _, t, fk) in EDGE_TYPES.items()]
     return "\nUNION ALL\n".join(parts)
 
 
 @query("m02_binding_validation", sql(_validation_sql()))
 def m02(spark, d):
-    """M2: bound columns exist; reference binds the source to an FK on 13 of
-    17 edges; edges pointing at missing target nodes."""
+    """M2: bound columns exist; edges pointing at missing target nodes."""
     return graph(Star(spark, d)).validate()
 
 
@@ -102,7 +99,7 @@ def m06(spark, d):
     inv = g.edges("involves").select(F.col("src").alias("encounter_key"), F.col("dst").alias("patient_key"))
     enc = g.nodes("Encounter").select("encounter_key", "encounter_id")
     pat = g.nodes("Patient").select("patient_key", "patient_id", "zip_code")
-    com = F.broadcast(g.nodes("CommunityHealth").select("zip_code", "risk_tier"))  # one row per zip
+    com = g.nodes("CommunityHealth").select("zip_code", "risk_tier")
     return (bills.join(inv, "encounter_key").join(enc, "encounter_key").join(pat, "patient_key")
             .join(com, "zip_code").select("claim_id", "encounter_id", "patient_id", "zip_code", "risk_tier"))
 
@@ -247,7 +244,7 @@ def m13(spark, d):
     """Non-adherent AND high social risk AND high readmission risk."""
     s = Star(spark, d)
     a = adherence(s).where(F.col("adherence_category") == "Non-Adherent").select("patient_key")
-    sd = F.broadcast(s.dim_sdoh().where((F.col("risk_tier") == "High")).select("zip_code"))
+    sd = s.dim_sdoh().where((F.col("risk_tier") == "High")).select("zip_code")
     b = s.dim_patient().where("is_current = 1").join(sd, "zip_code").select("patient_key")
     c = s.fact_encounter().where(F.col("readmission_risk_category") == "High").select("patient_key")
     return a.intersect(b).intersect(c)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from carelake.functions.exprs import euclid_degrees, haversine_km
 from carelake.operators import facts as E
 from carelake.plans import metrics as M
-from carelake.plans.oracle import rnd, sql
+from carelake.plans.oracle import _PCT, hb, rnd, sql
 from carelake.plans.q_scoring import feeds
 from carelake.plans.registry import query
 from carelake.plans.star import Star
@@ -43,6 +43,25 @@ def e04(spark, d):
         F.count_if(F.col("score") >= 0.7).alias("high_risk"))
 
 
+@query("e09_denials_without_status", sql(f"""
+SELECT payer_type, count(*) AS claims, CAST(sum(denied) AS BIGINT) AS denied, CAST(sum(paid) AS DOUBLE) AS paid FROM (
+  SELECT payer_type, CASE WHEN is_denied THEN 1 ELSE 0 END AS denied,
+    CASE WHEN is_denied THEN CAST(0 AS DECIMAL(18,2)) ELSE CAST(coalesce(paid_amount,
+      round(coalesce(billed_amount, CAST(0 AS DECIMAL(18,2))) * CAST(0.80 AS DECIMAL(3,2)), 2)) AS DECIMAL(18,2)) END AS paid
+  FROM (SELECT c.*, p.payer_type, {hb('c.claim_id', 100)} < {_PCT} AS is_denied
+        FROM silver_claims c LEFT JOIN dim_payer p ON c.payer_id = p.payer_id))
+GROUP BY 1"""))
+def e09(spark, d):
+    """E9's other branch: a claims feed without adjudication status has no
+    denials of its own (below the 2 % share), so E8's rates decide."""
+    s = Star(spark, d)
+    py = s.dim_payer().select("payer_id", "payer_name", "payer_type")
+    c = s.silver_claims().withColumn("claim_status", F.lit(None).cast("string")).join(py, "payer_id", "left")
+    return E.score_claims(c).groupBy("payer_type").agg(
+        F.count(F.lit(1)).alias("claims"), F.sum("denial_flag").cast("long").alias("denied"),
+        F.sum("paid_amount").cast("double").alias("paid"))
+
+
 @query("e14_denial_actions", sql("""
 SELECT primary_denial_reason, recommended_action, count(*) AS claims, CAST(sum(denial_flag) AS BIGINT) AS denied
 FROM fact_claim GROUP BY 1, 2"""))
@@ -91,8 +110,7 @@ def k03(spark, d):
     and as great-circle kilometres."""
     s = Star(spark, d)
     ev, _ = feeds(s)
-    fac = F.broadcast(s.dim_facility().select("facility_id", F.col("latitude").alias("flat"),
-                                              F.col("longitude").alias("flon")))  # one row per nation
+    fac = s.dim_facility().select("facility_id", F.col("latitude").alias("flat"), F.col("longitude").alias("flon"))
     j = ev.join(fac, "facility_id", "left")
     return j.select("claim_id", M.rnd(euclid_degrees("latitude", "longitude", "flat", "flon")).alias("distance_deg"),
                     M.rnd(haversine_km("latitude", "longitude", "flat", "flon"), 1).alias("distance_km"))

@@ -357,8 +357,7 @@ def k18(spark, d):
         .withColumnsRenamed({"latitude": "a_lat", "longitude": "a_lon"})
     c = latest_by(ev, "patient_id", ["event_timestamp", "event_id"], ["latitude", "longitude"]) \
         .withColumnsRenamed({"latitude": "c_lat", "longitude": "c_lon"})
-    fac = F.broadcast(s.dim_facility().select("zip_code", F.col("latitude").alias("f_lat"),
-                                              F.col("longitude").alias("f_lon")))  # one row per zip
+    fac = s.dim_facility().select("zip_code", F.col("latitude").alias("f_lat"), F.col("longitude").alias("f_lon"))
     p = s.dim_patient().where("is_current = 1").select("patient_id", "zip_code")
     j = p.join(a, "patient_id", "left").join(c, "patient_id", "left").join(fac, "zip_code", "left")
     src = F.when(F.col("a_lat").isNotNull(), "adt").when(F.col("c_lat").isNotNull(), "claim").otherwise("facility")

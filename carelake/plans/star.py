@@ -1,9 +1,9 @@
 """Bronze -> silver -> gold assembly over the driver tables.
 
 ``Star(spark, sf_dir)`` exposes every layer as lazily built DataFrames.
-Gold tables are materialised once per session (reliable checkpoint in the
-cluster's checkpoint folder) the way a lakehouse serves gold snapshots;
-queries then read the snapshot instead of re-deriving it.
+Gold tables are materialised once per session and version of the input files
+(parquet in the cluster's checkpoint folder) the way a lakehouse serves gold
+snapshots; queries then read the snapshot instead of re-deriving it.
 """
 
 from __future__ import annotations
@@ -36,19 +36,26 @@ class Star:
         self.t = Tables(spark, sf_dir)
         self.as_of = as_of
         self.materialise = materialise
+        self._version: int | None = None
 
     # -- caching ---------------------------------------------------------------
     def snapshot(self, name: str, build) -> DataFrame:
         """A table derived from the gold layer, kept like one."""
         return self._snap(name, build)
 
+    def _key(self, name: str) -> tuple:
+        # application id + start time identify this context even if a stopped
+        # context's Python object id is reused by a new one; the version of the
+        # input files keeps a rewritten table from answering with old snapshots
+        if self._version is None:
+            self._version = self.t.version()
+        sc = self.spark.sparkContext
+        return sc.applicationId, sc.startTime, self.sf_dir, self._version, self.as_of, name
+
     def _snap(self, name: str, build) -> DataFrame:
         if not self.materialise:
             return build()
-        sc = self.spark.sparkContext
-        # application id + start time identify this context even if a
-        # stopped context's Python object id is reused by a new one
-        key = (sc.applicationId, sc.startTime, self.sf_dir, self.as_of, name)
+        key = self._key(name)
         df = _CACHE.get(key)
         if df is None:
             df = materialise(build(), name)
@@ -60,7 +67,7 @@ class Star:
         already, so they are not written again."""
         if not self.materialise:
             return build()
-        key = (self.spark.sparkContext.applicationId, self.spark.sparkContext.startTime, self.sf_dir, self.as_of, name)
+        key = self._key(name)
         if key not in _CACHE:
             _CACHE[key] = build()
         return _CACHE[key]
