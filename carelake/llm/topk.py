@@ -8,12 +8,15 @@ skipped; at or above COORDINATE_FROM candidates are pruned by the range that
 the query's largest coordinates leave for theirs; below that by their length
 alone. Products of what remains are exact integers.
 
-Work is dealt out as pairs of a query block and a vector block, so no task
-holds more than one of each, whatever many equal vectors there are.
+Work is dealt to a grid of groups of query blocks and lanes of vector blocks. A
+cell holds the query blocks of its group (about HELD bytes, or one block) and
+streams the vector blocks of its lane past them, whatever many equal vectors
+there are. A vector block goes to the groups in which some query can gain from it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -28,6 +31,8 @@ BLOCK, QUERY_BLOCK = 1024, 256
 #: Vectors per range partition, and how many of the longest blocks give the bounds.
 PER_PARTITION, FIRST_BLOCKS = 8192, 2
 COORDINATE_FROM, FOCUS = 0.6, 3
+#: Bytes of query blocks held beside the vector blocks that stream past.
+HELD = 64 << 20
 PAIR = "query_id long, vec_id long, score long"
 
 
@@ -140,6 +145,16 @@ def _search_block(q: np.ndarray, q_ids: np.ndarray, bound: np.ndarray, c: np.nda
             np.concatenate([d for _, _, d in out]), np.concatenate([s for _, s, _ in out]))
 
 
+def _grid(query_bytes: int, vector_bytes: int, query_blocks: int, tasks: int) -> tuple[int, int]:
+    """Groups of query blocks and lanes of vector blocks, about ``tasks`` cells.
+
+    Vector blocks are copied to the groups and query blocks to the lanes: the
+    copies are fewest where both sides ship alike, unless HELD asks for more groups."""
+    even = math.sqrt(tasks * query_bytes / max(vector_bytes, 1))
+    groups = max(1, min(query_blocks, tasks, round(even)), -(-query_bytes // HELD))
+    return groups, max(1, -(-tasks // groups))
+
+
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,9 +215,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         asked = materialise(_blocks(asked, QUERY_BLOCK, "q"), "topk-queries")
     # equal longest norms: the key decides, so the first blocks are the same on every read
     first = materialise(blocks.orderBy(F.desc("c_norm"), "c_key").limit(FIRST_BLOCKS), "topk-first")
+    tasks = 2 * spark.sparkContext.defaultParallelism
     with _small_batches(spark, 16):
-        start = asked.withColumn("s", F.lit(0)).join(F.broadcast(first.withColumn("s", F.lit(0))), "s")
-        seen = materialise(start.repartition("q_key", "c_key").mapInArrow(_search(k), PAIR), "topk-seen")
+        start = asked.repartition(tasks, "q_key").withColumn("s", F.lit(0)).join(F.broadcast(first.withColumn("s", F.lit(0))), "s")
+        seen = materialise(start.drop("s").mapInArrow(_search(k), PAIR), "topk-seen")
         place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         kth = seen.withColumn("rank", F.row_number().over(place)).where(F.col("rank") == k).select("query_id", "score")
         of = asked.select("q_key", "q_ids").mapInArrow(_members, "q_key long, query_id long")
@@ -210,13 +226,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         bounded = materialise(asked.join(known, "q_key", "left").mapInArrow(
             _with_bounds, "q_key long, q_norm double, q_width int, q_ids binary, q_block binary, bound binary, need double"),
             "topk-bounded")
-        # a block meets the query blocks in which some query can still gain from it
-        rest = blocks.join(first.select("c_key", "c_norm"), ["c_key", "c_norm"], "left_anti")
-        lanes = max(1, spark.sparkContext.defaultParallelism)
-        dealt = (rest.withColumn("lane", F.pmod(F.xxhash64("c_key"), F.lit(lanes)).cast("int"))
-                 .join(bounded.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))), "lane")
-                 .where(F.col("c_norm") * (1 + 1e-9) >= F.col("need")).drop("lane", "need"))
-        more = materialise(dealt.repartition("q_key", "c_key").mapInArrow(_search(k), PAIR), "topk-more")
+        same = F.xxhash64("c_ids", "c_block").alias("same")  # an id with many vectors may give several blocks one key
+        rest = blocks.select("*", same).join(first.select("c_key", "c_norm", same), ["c_key", "c_norm", "same"], "left_anti").drop("same")
+        queries_size = bounded.agg(F.count("*"), F.sum(F.length("q_block"))).first()
+        groups, lanes = _grid(queries_size[1] or 0, rest.agg(F.sum(F.length("c_block"))).first()[0] or 0, queries_size[0], tasks)
+        grouped = bounded.withColumn("group", F.pmod(F.xxhash64("q_key", "q_ids"), F.lit(groups)).cast("int"))
+        # a block goes to the groups, and meets the query blocks, in which some query can still gain from it
+        gain = F.col("c_norm") * (1 + 1e-9) >= F.col("need")
+        least = grouped.groupBy("group").agg(F.min("need").alias("need")).withColumn("s", F.lit(0))
+        dealt = (rest.withColumn("s", F.lit(0)).join(F.broadcast(least), "s").where(gain).drop("s", "need")
+                 .withColumn("lane", F.pmod(F.xxhash64("c_key", "c_norm"), F.lit(lanes)).cast("int")))
+        copied = grouped.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+        cells = (dealt.repartition(groups * lanes, "group", "lane")
+                 .join(copied.repartition(groups * lanes, "group", "lane"), ["group", "lane"]).where(gain))
+        more = materialise(cells.drop("group", "lane", "need").mapInArrow(_search(k), PAIR), "topk-more")
     return (seen.unionByName(more).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

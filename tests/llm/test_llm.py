@@ -186,6 +186,24 @@ def test_top_k_equals_brute_force(spark):
     assert top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_one_id_with_many_vectors(spark, monkeypatch):
+    from carelake.llm import topk
+    monkeypatch.setattr(topk, "BLOCK", 4)
+    sign = [(7, [a * 3, b * 4, c * 5]) for a in (1, -1) for b in (1, -1) for c in (1, -1)]  # equal lengths, several blocks
+    df = spark.createDataFrame([*sign, *((i, [i % 3, 1, 0]) for i in range(20, 40))], "vec_id long, v array<long>")
+    got = [(r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id = 20"), k=30).orderBy("rank").collect()]
+    want = sorted([(i, 2 * (i % 3) + 1) for i in range(21, 40)] + [(7, 2 * v[0] + v[1]) for _, v in sign], key=lambda x: (-x[1], x[0]))
+    assert sorted(got) == sorted(want) and [s for _, s in got] == [s for _, s in want]
+
+
+@pytest.mark.parametrize("q_bytes,v_bytes,q_blocks,tasks", [(0, 0, 0, 8), (1, 10 ** 12, 1, 2000), (2 * 10 ** 10, 10 ** 12, 10 ** 5, 2000),
+                                                            (10 ** 9, 10 ** 3, 5000, 16)])
+def test_top_k_grid(q_bytes, v_bytes, q_blocks, tasks):
+    from carelake.llm import topk
+    groups, lanes = topk._grid(q_bytes, v_bytes, q_blocks, tasks)
+    assert groups >= 1 and lanes >= 1 and groups * lanes >= tasks and q_bytes <= groups * topk.HELD
+
+
 def test_top_k_of_vectors_without_components(spark):
     df = spark.createDataFrame([(i, []) for i in range(0, 150, 25)] + [(151, [3, -1])], "vec_id long, v array<long>")
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df, df.where("vec_id % 50 = 0"), k=3).collect())
@@ -213,6 +231,7 @@ def test_top_k_prunes_keep_concentrated_answers(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 16)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
     monkeypatch.setattr(topk, "PER_PARTITION", 64)
+    monkeypatch.setattr(topk, "HELD", 600)  # several groups of query blocks
     v = []
     for i in range(400):
         x = rng.integers(-12, 12, 5)
