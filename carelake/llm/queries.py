@@ -8,7 +8,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import sharding, url_filter
+from carelake.llm import sharding, token_count, url_filter
 from carelake.llm.decontaminate import contamination
 from carelake.llm.merkle import document_proofs
 from carelake.llm.near_dup import near_duplicates
@@ -254,3 +254,10 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {"op1_sharding": sharding.oracle_sql(), "op3_topk_search": OP3_SQL, "op7_near_duplicates": OP7_SQL,
           "op9_decontamination": OP9_SQL, "op11_reply_trees": OP11_SQL, "op12_ranked_search": OP12_SQL,
           "op13_merkle_manifest": OP13_SQL}
+
+
+def oracle() -> dict[str, str]:
+    """ORACLE, and the SQL that holds the vocabulary of a file, if that file is there."""
+    if not os.path.exists(f"{TOKENIZERS}/piece_bpe_32k.model"):
+        return ORACLE
+    return ORACLE | {"op4_token_counts": token_count.oracle_sql(sentencepiece_vocabulary(sentencepiece_model()))}

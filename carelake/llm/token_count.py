@@ -127,6 +127,34 @@ def _counter(vocabulary: tuple[str, ...], lower: bool, longest: int | None):
     return run
 
 
+def oracle_sql(vocabulary: Iterable[str], prefix: str = "##") -> str:
+    """DuckDB SQL of (doc_id, n_words, n_tokens, n_unknown) over ``documents``
+    without a limit on words: each distinct word is split piece by piece, the
+    longest first, by looking up every substring. The vocabulary is a VALUES list."""
+    pieces = sorted(set(vocabulary))
+    rows = ", ".join("('" + p.replace("'", "''") + "')" for p in pieces)
+    longest = max(map(len, pieces))
+    return rf"""
+WITH RECURSIVE p(piece) AS MATERIALIZED (VALUES {rows}),
+w AS MATERIALIZED (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''),
+    '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s\p{{Z}}\x0B\x1C-\x1F\x{{85}}]')) AS word FROM documents),
+d AS MATERIALIZED (SELECT word, length(word) AS n FROM (SELECT DISTINCT word FROM w)),
+g(word, n, pos, made) AS (
+  SELECT word, n, 0, 0 FROM d
+  UNION ALL
+  SELECT word, n, pos + max(k), made + 1
+  FROM (SELECT *, unnest(range(1, least(n - pos, {longest}) + 1)) AS k FROM g WHERE pos < n) c
+  JOIN p ON p.piece = (CASE WHEN c.pos = 0 THEN '' ELSE '{prefix}' END) || substr(c.word, c.pos + 1, c.k)
+  GROUP BY word, n, pos, made),
+m AS (SELECT word, made FROM g WHERE pos = n),
+t AS (
+  SELECT doc_id, count(*) AS n_words, sum(coalesce(made, 1)) AS n_tokens, count(*) FILTER (WHERE made IS NULL) AS n_unknown
+  FROM w LEFT JOIN m USING (word) GROUP BY 1)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(n_tokens, 0) AS BIGINT) AS n_tokens, coalesce(n_unknown, 0) AS n_unknown
+FROM documents LEFT JOIN t USING (doc_id)"""
+
+
 def token_counts(docs: DataFrame, vocabulary: Iterable[str], id_col: str = "doc_id", text_col: str = "text",
                  lower: bool = False, longest: int | None = LONGEST) -> DataFrame:
     """(doc_id, n_words, n_tokens, n_unknown), one row per row of ``docs``.

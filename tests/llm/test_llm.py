@@ -270,6 +270,22 @@ def test_token_counts_equal_greedy_splitting(spark):
     assert next(r for r in got if r.doc_id == 1).n_tokens == 0
 
 
+def test_token_counts_equal_their_sql(spark):
+    import duckdb
+    import pandas as pd
+    from carelake.llm.token_count import oracle_sql
+    vocabulary = sentencepiece_vocabulary(sentencepiece_model())
+    texts = [None, "", " \t\n", "it's 'quoted' -- ##ing; a_b __", "Straße 12½ ²x e\u0301 naïve", "a\u00a0b\u2003c\u0085d\x1ce\u200bf",
+             "日本語のテキスト और हिन्दी", "x" * 900, "😀😀 ok", "don't stop " * 300]
+    rng = random.Random(3)
+    texts += ["".join(rng.choice("aeinrst ABß_'7.\u0301中") for _ in range(60)) for _ in range(80)]
+    rows = list(enumerate(texts))
+    got = token_counts(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary, longest=None)
+    c = duckdb.connect()
+    c.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "int64", "text": "string"}))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(c.execute(oracle_sql(vocabulary)).fetchall())
+
+
 def test_token_counts_split_long_words(spark, tmp_path):
     from carelake.llm.queries import op4_token_counts
     have, rng = set(sentencepiece_vocabulary(sentencepiece_model())), random.Random(7)
