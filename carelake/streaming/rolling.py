@@ -20,18 +20,25 @@ revision of an event equals the batch window over all events accepted so far
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from carelake.operators.windows import latest_by
+from carelake.session import use_rocksdb
 
 MICROS = 10 ** 6
 
+# Spark also loads the processor in a Python process beside the driver, which does
+# not see the driver program's sys.path: send the class, not its name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class RollingFrames(StatefulProcessor):
     """Input: key, event_id, event_timestamp, amount. ``frames`` are seconds;
@@ -136,6 +143,7 @@ def rolling_frames(stream: DataFrame, key: str, amount: Column, frames: list[int
     to and including the event's time. ``stream`` needs a watermark on
     ``event_timestamp`` and one row per event_id; null keys, times and ids take no
     part, a null amount counts as 0."""
+    use_rocksdb(stream.sparkSession)
     rows = stream.select(F.col(key).cast("string").alias("key"), F.col("event_id").cast("long").alias("event_id"),
                          "event_timestamp", F.coalesce(amount.cast("long"), F.lit(0)).alias("amount"))
     rows = rows.where("key IS NOT NULL AND event_id IS NOT NULL AND event_timestamp IS NOT NULL")
