@@ -18,18 +18,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.toxicity import weighted_sample
+from carelake.operators.keys import dense_keys
+from carelake.operators.scan import quantiles
 from carelake.session import materialise
 
-#: At most so many labelled documents per label are used for training (those
-#: with the smallest hash of their id), and so many pairs for each preferred one.
-#: Each stands for ``weight`` labelled ones, so a cut label keeps its share.
-TRAIN_PER_LABEL, PAIRS_EACH = 8_000, 4
-#: Weights of the quantile, in whole parts of a document.
-PARTS = 10_000
+#: Pairs for each preferred document. Weights and threshold come from all labelled
+#: documents; the bound of earlier versions is gone and its name has no effect.
+TRAIN_PER_LABEL, PAIRS_EACH = None, 4
 FEATURES = ("log_words", "log_chars", "word_length", "distinct_words", "repeated_neighbours", "commonest_word",
             "symbols", "pipes", "digits", "capitals", "stops", "lines_per_word", "repeated_lines", "sentence_words",
             "long_words", "non_ascii", "markup")
@@ -69,18 +67,17 @@ def _dot(x: str, weights) -> Column:
 
 
 def learn(sample: DataFrame) -> tuple[list[float], float]:
-    """Weights on the raw features and the threshold, from (doc_id, x, label, weight).
+    """Weights on the raw features and the threshold, from (doc_id, x, label).
     Zeros if one of the labels is missing. Nothing but sums, weights and one
     quantile reaches the driver."""
     k = len(FEATURES)
-    share = sample.agg(F.sum(F.col("label") * F.col("weight")) / F.sum("weight"), F.countDistinct("label"), F.max("weight")).first()
+    share = sample.agg(F.avg("label"), F.countDistinct("label")).first()
     if share[1] != 2:
         return [0.0] * k, 0.0
     spread = sample.agg(*[F.stddev_pop(F.get("x", i)) for i in range(k)]).first()
     scale = [1.0 / s if s and s > 1e-9 else 0.0 for s in spread]
-    place = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    numbered = sample.withColumn("i", F.row_number().over(place) - 1)
-    good, bad = (numbered.where(F.col("label") == v).select("i", "x") for v in (1, 0))
+    placed = sample.withColumn("_place", F.xxhash64("doc_id"))
+    good, bad = (dense_keys(placed.where(F.col("label") == v), ["_place", "doc_id"], "i", start=0).select("i", "x") for v in (1, 0))
     n_bad = bad.count()
     pairs = (good.select("x", F.explode(F.sequence(F.lit(0), F.lit(PAIRS_EACH - 1))).alias("s"), "i")
              .select("x", ((F.col("i") * PAIRS_EACH + F.col("s")) % n_bad).alias("i"), "s")
@@ -91,9 +88,8 @@ def learn(sample: DataFrame) -> tuple[list[float], float]:
         array_to_vector(apart).alias("features"), (F.col("sign") > 0).cast("double").alias("label")), "quality-pairs")
     fit = LogisticRegression(fitIntercept=False, standardization=False, regParam=1e-3, maxIter=60).fit(data)
     weights = [float(w) * s for w, s in zip(fit.coefficients, scale, strict=True)]
-    times = F.round(F.col("weight") * (1 if share[2] == 1 else PARTS)).cast("long")
-    threshold = sample.agg(F.percentile(_dot("x", weights), 1 - float(share[0]), times)).first()[0]
-    return weights, float(threshold)
+    scores = sample.select(F.lit(0).alias("all"), _dot("x", weights).alias("raw"))
+    return weights, float(quantiles(scores, "all", "raw", {"threshold": 1 - float(share[0])}).first()["threshold"])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
@@ -110,8 +106,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "
                     .mapInArrow(_feature_rows, f"doc_id {ids}, x array<double>"), "quality-features")
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .where("label IN (0, 1)").where(~held_out).groupBy("doc_id").agg(F.max("label").alias("label")))
-    both = x.join(known, "doc_id").select("doc_id", "x", "label")
-    sample = materialise(weighted_sample(both, x.select("doc_id").join(known, "doc_id"), TRAIN_PER_LABEL), "quality-sample")
+    sample = materialise(x.join(known, "doc_id").select("doc_id", "x", "label"), "quality-labelled")
     weights, threshold = learn(sample)
     score = 1 / (1 + F.exp(-F.greatest(F.least(_dot("x", weights) - threshold, F.lit(500.0)), F.lit(-500.0))))
     return (x.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score"))

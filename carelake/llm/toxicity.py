@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
@@ -38,14 +37,13 @@ SEEDS = {
 }
 #: Weight of what the grammar accepts.
 WEIGHTS = {"insult": 1.0, "insult+target": 1.5, "insult+negation": 0.4, "insult+report": 0.5, "threat+target": 2.0, "threat": 0.3}
-#: At most so many labelled documents per label are used for training (those
-#: with the smallest hash of their id). Each stands for ``weight`` labelled
-#: ones, so a cut label keeps its share.
-TRAIN_PER_LABEL = 6_000
+#: Words, weights and intercept come from all labelled documents; the bound of
+#: earlier versions is gone and its name has no effect.
+TRAIN_PER_LABEL = None
 STEM = (3, 8)
 #: A learned entry must be in so many toxic documents, reach this
-#: log-likelihood ratio, and have this share of its documents toxic (in the
-#: sample, and with labels balanced).
+#: log-likelihood ratio, and have this share of its documents toxic (as they
+#: are, and with labels balanced).
 LEAST_DOCS, LEAST_RATIO, LEAST_SHARE, MOST_ENTRIES = 3, 22.0, 0.95, 5_000
 #: Lists are learned in rounds: each looks only at the toxic documents in
 #: which the grammar accepts nothing yet, so rarer words stand out.
@@ -169,16 +167,12 @@ def seed_words() -> dict[str, str]:
 
 
 def learn_insults(sample: DataFrame) -> tuple[list[str], list[str]]:
-    """Words and stems that mark toxic documents, from (text, label, weight).
-    Counted over the whole bounded sample; MOST_ENTRIES of them reach the driver.
-
-    The ratio compares the two labels and holds for any sizes of their
-    samples; the share is of all labelled documents, hence weighted."""
-    size = sample.agg(F.sum("label"), F.count("*"), *[F.avg(F.when(F.col("label") == v, F.col("weight"))) for v in (1, 0)]).first()
+    """Words and stems that mark toxic documents, from (doc_id, text, label).
+    Counted over all labelled documents; MOST_ENTRIES of them reach the driver."""
+    size = sample.agg(F.sum("label"), F.count("*")).first()
     n1, n0 = int(size[0] or 0), int((size[1] or 0) - (size[0] or 0))
     if not n1 or not n0:
         return [], []
-    toxic, clean = F.col("a") * size[2], F.col("b") * size[3]
     word = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_']+"))
     stems = F.transform(F.sequence(F.lit(STEM[0]), F.lit(STEM[1])),
                         lambda k: F.when(F.length("w") > k, F.substr(F.col("w"), F.lit(1), k)))
@@ -194,7 +188,7 @@ def learn_insults(sample: DataFrame) -> tuple[list[str], list[str]]:
 
     ratio = 2 * (part(F.col("a"), p1) + part(F.col("b"), p0) + part(n1 - F.col("a"), (n1 - F.col("a")) / n1 * p / (1 - p + 1e-12))
                  + part(n0 - F.col("b"), (n0 - F.col("b")) / n0 * p / (1 - p + 1e-12)))
-    found = (entries.where((p1 / (p1 + p0) >= LEAST_SHARE) & (toxic / (toxic + clean) >= LEAST_SHARE)).withColumn("g", ratio).where(F.col("g") >= LEAST_RATIO)
+    found = (entries.where((p1 / (p1 + p0) >= LEAST_SHARE) & (F.col("a") / (F.col("a") + F.col("b")) >= LEAST_SHARE)).withColumn("g", ratio).where(F.col("g") >= LEAST_RATIO)
              .orderBy(F.desc("g"), "e").limit(MOST_ENTRIES).select("e", "a").collect())
     docs = {r.e: r.a for r in found}
     # A stem whose documents are nearly those of one longer entry says no more
@@ -213,7 +207,7 @@ def learn_insults(sample: DataFrame) -> tuple[list[str], list[str]]:
 
 def learn(sample: DataFrame) -> tuple[dict[str, str], tuple[str, ...], list[float], float]:
     """Word classes, insult stems, weights and intercept from (doc_id, text,
-    label, weight)."""
+    label)."""
     words, stems, left = seed_words(), (), sample
     for _ in range(ROUNDS):
         more, found = learn_insults(left)
@@ -228,9 +222,9 @@ def learn(sample: DataFrame) -> tuple[dict[str, str], tuple[str, ...], list[floa
     fallback[FEATURES.index("any insult")], fallback[FEATURES.index("best clause")] = 2.0, 1.0
     if sample.agg(F.countDistinct("label")).first()[0] != 2:
         return words, stems, fallback, -3.0
-    data = materialise(_features(sample, words, stems).join(sample.select("doc_id", "label", "weight"), "doc_id").select(
-        array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"), "weight"), "toxicity-train")
-    fit = LogisticRegression(regParam=0.003, standardization=False, maxIter=60, weightCol="weight",
+    data = materialise(_features(sample, words, stems).join(sample.select("doc_id", "label"), "doc_id").select(
+        array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label")), "toxicity-train")
+    fit = LogisticRegression(regParam=0.003, standardization=False, maxIter=60,
                              lowerBoundsOnCoefficients=_not_negative()).fit(data)
     return words, stems, [float(w) for w in fit.coefficients], float(fit.intercept)
 
@@ -241,16 +235,6 @@ def _not_negative():
     return Matrices.dense(1, len(FEATURES), [0.0] * len(FEATURES))
 
 
-def weighted_sample(usable: DataFrame, counted: DataFrame, most: int) -> DataFrame:
-    """Of each label at most ``most`` rows of ``usable`` (doc_id, label, ...),
-    by the smallest hash of doc_id, with the ``weight`` rows / sampled rows;
-    ``counted`` has a label for every row of ``usable``."""
-    rows = {r.label: r["count"] for r in counted.groupBy("label").count().collect()}
-    return reduce(DataFrame.unionByName, [
-        usable.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        .withColumn("weight", F.lit(max(1.0, rows.get(v, 0) / most))) for v in (0, 1)])
-
-
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", threshold: float = 0.3, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, held_out, score, predicted and the columns ``carry`` of ``docs``),
@@ -265,12 +249,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .where("label IN (0, 1)").where(~held_out).groupBy("doc_id").agg(F.max("label").alias("label")))
-    # choose the sample among labels first: texts of few documents are needed
-    usable = materialise(known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), "toxicity-usable")
-    chosen = materialise(weighted_sample(usable, usable, TRAIN_PER_LABEL), "toxicity-chosen")
-    sample = materialise(rows.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
-                         .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"),
-                                                F.first("weight").alias("weight")), "toxicity-sample")
+    sample = materialise(rows.select("doc_id", "text").where("text IS NOT NULL").join(known, "doc_id")
+                         .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")), "toxicity-labelled")
     words, stems, weights, intercept = learn(sample)
     x = _features(rows, words, stems, carry)
     raw = sum((F.get("x", i) * w for i, w in enumerate(weights)), F.lit(intercept))

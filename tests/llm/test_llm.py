@@ -528,3 +528,15 @@ def test_pipeline_judges_rows(spark, tmp_path):
     assert p.run(spark, str(tmp_path)).count() == sum((calm & pure & single).values())
     empty = docs.limit(0)
     assert all(stage(spark, empty, str(tmp_path)).count() == 0 for _, stage in p.STAGES)
+
+
+def test_scores_come_from_all_labelled_documents(spark, monkeypatch):
+    """A bound on the labelled documents changes no score."""
+    from carelake.llm import quality, toxicity
+    some = lambda r: text_of(r, r.randint(20, 80))
+    docs, labels = rare(spark, some, lambda r: text_of(r, r.randint(10, 60)) + ". you idiot", some, 400)
+    for module, scores in ((quality, quality.quality_scores), (toxicity, toxicity.toxicity_scores)):
+        whole = {r.doc_id: r.score for r in scores(docs, labels, F.lit(False)).collect()}
+        monkeypatch.setattr(module, "TRAIN_PER_LABEL", 20)
+        bound = {r.doc_id: r.score for r in scores(docs, labels, F.lit(False)).collect()}
+        assert max(abs(whole[i] - bound[i]) for i in whole) < 1e-9
