@@ -60,3 +60,20 @@ def test_long_identifiers_are_never_cut(spark):
     df = spark.range(99_990, 100_010).unionByName(spark.range(1_000_000, 1_000_010))
     got = df.select(_id("P", "id", 5).alias("a"), _id("P", F.col("id"), 6).alias("b"))
     assert got.select("a").distinct().count() == got.select("b").distinct().count() == 30
+
+
+def test_latest_per_key_made_of_parts_keeps_rows_where_a_join_dealt_them(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = spark.createDataFrame([(1, 1, 5, "x"), (1, 1, 7, "y"), (1, 1, 7, "z"), (1, 2, None, "p"), (2, 1, 1, "q"), (2, 1, 1, "q"),
+                                   (None, 1, 3, "n"), (None, 1, 4, "m"), (3, None, 4, "o")], "o long, l int, t int, v string")
+        j = a.join(spark.createDataFrame([(1, "c"), (2, "d")], "k long, w string"), F.col("o") == F.col("k"), "left")
+        key = F.concat(F.lit("K"), F.col("o").cast("string"), F.lit("-"), F.col("l").cast("string")).alias("id")
+        plain = latest_per_key(j.select(key, "t", "v", "w"), "id", ["t"])
+        made = latest_per_key(j.select(key, "t", "v", "w", F.col("o").alias("_o"), F.col("l").alias("_l")), "id", ["t"], made_of=("_o", "_l"))
+        assert made.columns == plain.columns and sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+        assert made.count() == 4  # three keys and one row for the null key
+        wide = [x for x in made._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(_o" in x]
+        assert not wide
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
