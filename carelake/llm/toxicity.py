@@ -166,20 +166,30 @@ def seed_words() -> dict[str, str]:
     return {w: kind for kind, listed in SEEDS.items() for w in listed.split()}
 
 
-def learn_insults(sample: DataFrame) -> tuple[list[str], list[str]]:
-    """Words and stems that mark toxic documents, from (doc_id, text, label).
-    Counted over all labelled documents; MOST_ENTRIES of them reach the driver."""
-    size = sample.agg(F.sum("label"), F.count("*")).first()
-    n1, n0 = int(size[0] or 0), int((size[1] or 0) - (size[0] or 0))
+def entry_counts(docs: DataFrame) -> DataFrame:
+    """(e, n): how many of the rows (text) hold the word or stem ``e``. Repeats go
+    within the row, so only counts are shuffled, never an entry of a document."""
+    words = F.filter(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_']+")),
+                     lambda w: (F.length(w) >= 3) & ~w.rlike("[0-9]"))
+    entries = F.flatten(F.transform(words, lambda w: F.array(
+        F.concat(w, F.lit("$")), *[F.when(F.length(w) > k, F.substring(w, 1, k)) for k in range(STEM[0], STEM[1] + 1)])))
+    return (docs.select(F.explode(F.array_distinct(entries)).alias("e")).where("e IS NOT NULL")
+            .groupBy("e").agg(F.count(F.lit(1)).alias("n")))
+
+
+def frequent_entries(toxic: DataFrame) -> DataFrame:
+    """(e, a): entries in at least LEAST_DOCS toxic documents."""
+    return entry_counts(toxic).where(F.col("n") >= LEAST_DOCS).withColumnRenamed("n", "a")
+
+
+def learn_insults(toxic: DataFrame, n0: int, clean: DataFrame, frequent: DataFrame) -> tuple[list[str], list[str]]:
+    """Words and stems that mark toxic documents, from all toxic documents (doc_id,
+    text) and their ``frequent`` entries; of the ``n0`` clean documents the counts
+    ``clean`` (e, b) of each such entry. MOST_ENTRIES of them reach the driver."""
+    n1 = toxic.count()
     if not n1 or not n0:
         return [], []
-    word = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_']+"))
-    stems = F.transform(F.sequence(F.lit(STEM[0]), F.lit(STEM[1])),
-                        lambda k: F.when(F.length("w") > k, F.substr(F.col("w"), F.lit(1), k)))
-    entries = (sample.select("doc_id", "label", F.explode(word).alias("w")).where("length(w) >= 3 AND w NOT RLIKE '[0-9]'")
-               .select("doc_id", "label", F.explode(F.concat(F.array(F.concat("w", F.lit("$"))), stems)).alias("e"))
-               .where("e IS NOT NULL").distinct()
-               .groupBy("e").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).where(F.col("a") >= LEAST_DOCS))
+    entries = frequent.join(clean, "e", "left").withColumn("b", F.coalesce("b", F.lit(0)))
     p1, p0 = F.col("a") / n1, F.col("b") / n0
     p = (F.col("a") + F.col("b")) / (n1 + n0)
 
@@ -208,16 +218,22 @@ def learn_insults(sample: DataFrame) -> tuple[list[str], list[str]]:
 def learn(sample: DataFrame) -> tuple[dict[str, str], tuple[str, ...], list[float], float]:
     """Word classes, insult stems, weights and intercept from (doc_id, text,
     label)."""
-    words, stems, left = seed_words(), (), sample
+    words, stems, left = seed_words(), (), sample.where("label = 1")
+    # the clean documents are the same in all rounds, the frequent entries ever fewer
+    calm = sample.where("label = 0")
+    n0 = calm.count()
+    frequent = materialise(frequent_entries(left), "toxicity-frequent")
+    clean = materialise(entry_counts(calm).withColumnRenamed("n", "b").join(frequent, "e", "left_semi"), "toxicity-clean-entries")
     for _ in range(ROUNDS):
-        more, found = learn_insults(left)
+        more, found = learn_insults(left, n0, clean, frequent)
         words |= dict.fromkeys(more, INSULT)
         stems += tuple(found)
         if not more and not found:
             break
         left = materialise(left.join(
-            _features(left.where("label = 1"), words, stems).where(F.get("x", FEATURES.index("any insult")) > 0)
+            _features(left, words, stems).where(F.get("x", FEATURES.index("any insult")) > 0)
             .select("doc_id"), "doc_id", "left_anti"), "toxicity-unexplained")
+        frequent = frequent_entries(left)
     fallback = [0.0] * len(FEATURES)
     fallback[FEATURES.index("any insult")], fallback[FEATURES.index("best clause")] = 2.0, 1.0
     if sample.agg(F.countDistinct("label")).first()[0] != 2:

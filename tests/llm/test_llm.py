@@ -540,3 +540,16 @@ def test_scores_come_from_all_labelled_documents(spark, monkeypatch):
         monkeypatch.setattr(module, "TRAIN_PER_LABEL", 20)
         bound = {r.doc_id: r.score for r in scores(docs, labels, F.lit(False)).collect()}
         assert max(abs(whole[i] - bound[i]) for i in whole) < 1e-9
+
+
+def test_toxicity_entries_are_counted_without_shuffling_those_of_each_document(spark):
+    from carelake.llm import toxicity
+    texts = ["The then they, THE a1 grumpfx grumpfx!", "", None, "Überlange Wörter über grumpfy's ab", "then " * 50, "Grumpfx then"]
+    want = collections.Counter()
+    for t in texts:
+        words = {w for w in re.split(r"[^\w']+", (t or "").lower()) if len(w) >= 3 and not re.search("[0-9]", w)}
+        want.update({f"{w}$" for w in words} | {w[:k] for w in words for k in range(3, 9) if len(w) > k})
+    got = toxicity.entry_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert {r.e: r.n for r in got.collect()} == dict(want)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(re.findall(r"\bExchange\b", plan)) == 1, plan
