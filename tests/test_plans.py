@@ -1,6 +1,11 @@
+import datetime as dt
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from carelake.plans.star import Star
+from carelake.session import where_dealt
+from carelake.sources import bindings as B
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,3 +60,48 @@ def test_graph_validation_counts_orphans(spark):
     assert len(got) == 17 and all(r.pk_exists and r.fk_exists for r in got.values())
     assert got["ClaimHasPayer"].orphan_edges == claims.where("payer_key IS NOT NULL").count() > 0
     assert got["submittedBy"].orphan_edges == 0
+
+
+def _unbroadcast(spark, build):
+    """The plan of ``build()`` where nothing is small enough to be broadcast."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with where_dealt(spark):
+            return _plan(build())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_lines_are_dealt_once_for_claims_prescriptions_and_diagnoses(spark):
+    s = Star(spark, SF)
+    s._lines()
+    for build in (s._silver_claims, s._silver_prescriptions, s._silver_diagnoses):
+        plan = _unbroadcast(spark, build)
+        assert "Bucketed: true" in plan
+        assert "hashpartitioning(l_orderkey" not in plan and "hashpartitioning(_order" not in plan
+    # of encounters only the orders travel
+    plan = _unbroadcast(spark, s._silver_encounters)
+    assert "hashpartitioning(o_orderkey" in plan and "hashpartitioning(l_orderkey" not in plan
+
+
+def test_lines_come_with_their_orders_as_before(spark):
+    """Lines without an order, of null orders and repeated ones are all there."""
+    lines = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+             "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    when = dt.datetime(1997, 3, 4)
+    rest = (7, 3, 1, 5.0, 100.0, 0.1, 0.05, "N", "F", when)
+    t = SimpleNamespace(
+        lineitem=spark.createDataFrame([(1, *rest), (1, *rest), (2, *rest), (None, *rest)], lines),
+        orders=spark.createDataFrame([(1, 10, when), (1, 11, when), (3, 12, when)],
+                                     "o_orderkey long, o_custkey long, o_orderdate timestamp"))
+    got = sorted((str(r.l_orderkey), str(r.o_custkey)) for r in B.order_lines(t).collect())
+    assert got == [("1", "10"), ("1", "10"), ("1", "11"), ("1", "11"), ("2", "None"), ("None", "None")]
+    claims = [sorted(map(str, B.raw_claims(t, parts=True, lines=x).collect())) for x in (None, B.order_lines(t))]
+    assert claims[0] == claims[1] and len(claims[0]) == 6
+
+
+def test_adherence_is_written_once(spark):
+    from carelake.plans.q_rx import adherence
+    files = adherence(Star(spark, SF)).inputFiles()
+    assert any("/dense-keys-" in f for f in files) and not any("/agg_adherence-" in f for f in files)

@@ -72,3 +72,19 @@ def test_stays_are_cut_out_like_days(spark):
         covered = {a + one * i for a, n in own for i in range(n)} & period
         want[key] = (len(period), sum((key[0], x) not in away for x in period), len(covered), sum((key[0], x) not in away for x in covered))
     assert got == want
+
+
+def test_scanned_rows_meet_what_is_carried_in_where_they_are(spark):
+    """The window's rows are not shuffled again for the join; null keys still match."""
+    df = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 1, 7), ("a", 2, 8)], "k string, t int, v int")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = scan_by_key(df, ["k"], ["t"], {"before": summed(F.col("v"))}, num_partitions=4)
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        rows = {tuple(r) for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert rows == {(None, 1, 5, None), (None, 2, 6, 5), ("a", 1, 7, None), ("a", 2, 8, 7)}
+    # the window, and of the pieces their sum, their order and the join
+    assert plan.count("Exchange hashpartitioning") == 4
