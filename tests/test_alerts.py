@@ -77,3 +77,20 @@ def test_versions_are_read_as_committed(spark):
     assert V.read_version(spark, root, 1).columns == ["id"] and V.read_version(spark, root, 2).count() == 5
     with pytest.raises(ValueError):
         V.read_version(spark, root, 9)
+
+
+def test_a_repeated_event_is_counted_as_often_as_it_comes(spark, tmp_path):
+    """Three deliveries of each event: its rows meet its one alert, not each other's."""
+    import __spark_entry__ as e
+    from carelake.plans.compare import compare, duckdb_conn
+    small, d = "/root/testdata/sf0.001", str(tmp_path)
+    for name in os.listdir(small):
+        os.symlink(f"{small}/{name}", f"{d}/{name}") if name != "events.parquet" else None
+    events = spark.read.parquet(f"{small}/events.parquet")
+    (events.crossJoin(spark.range(3).select(F.lit(1).alias("_n"))).drop("_n").coalesce(1)
+     .write.parquet(f"{d}/_events"))
+    part = next(f for f in os.listdir(f"{d}/_events") if f.endswith(".parquet"))
+    os.symlink(f"{d}/_events/{part}", f"{d}/events.parquet")
+    name = "s16_stream_alert_latency"
+    r = compare(e.queries()[name](spark, d), e.oracle_sql()[name], duckdb_conn(d))
+    assert r["ok"], r
