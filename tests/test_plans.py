@@ -105,3 +105,25 @@ def test_adherence_is_written_once(spark):
     from carelake.plans.q_rx import adherence
     files = adherence(Star(spark, SF)).inputFiles()
     assert any("/dense-keys-" in f for f in files) and not any("/agg_adherence-" in f for f in files)
+
+
+def test_dimensions_show_joins_their_size(spark, tmp_path):
+    """Many short rows that pack well don't pass for a table small enough to broadcast."""
+    n, key = 40_000, F.col("id")
+    made = {"customer": [key.alias("c_custkey"), (key % 25).alias("c_nationkey"), F.lit(1.0).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment")],
+            "supplier": [key.alias("s_suppkey"), (key % 25).alias("s_nationkey"), F.lit(1.0).alias("s_acctbal")],
+            "part": [key.alias("p_partkey"), F.lit("part").alias("p_name"), F.lit("Brand#1").alias("p_brand"), F.lit("TIN").alias("p_type"),
+                     (key % 50).cast("int").alias("p_size"), F.lit(1.0).alias("p_retailprice")]}
+    for name, cols in made.items():
+        spark.range(n).select(*cols).write.parquet(f"{tmp_path}/{name}.parquet")
+    s = Star(spark, str(tmp_path))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(n * 16))  # shorter than an id and a key are
+    try:
+        for dim, bk, sk in ((s.dim_patient(), "patient_id", "patient_key"), (s.dim_provider(), "provider_id", "provider_key"),
+                            (s.dim_medication(), "medication_code", "medication_key"), (s.dim_diagnosis(), "icd_code", "diagnosis_key")):
+            assert dim.count() == n
+            facts = spark.range(10 ** 7).select(F.col("id").alias(sk))
+            assert "Broadcast" not in _plan(facts.join(dim.select(bk, sk), sk)), bk
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
